@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from . import fingerprint, packing, simhash
+from . import fingerprint, mixing, packing, quality, secrets, simhash
 
 
 def queries() -> dict:
     return {
+        "op2_quality": quality.op2_quality,
         "op4_packing": packing.op4_packing,
         "op5_fingerprints": fingerprint.op5_fingerprints,
         "op7_simhash": simhash.op7_simhash,
+        "op9_mixing": mixing.op9_mixing,
+        "op10_secrets": secrets.op10_secrets,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_mixing": mixing.oracle_sql()}
