@@ -58,19 +58,18 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BY
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Odd bases of the two independent polynomial hashes, modulo 2^64.
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_powers: dict[int, np.ndarray] = {}
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, at least n of each."""
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, _BASE_INV)):
-            steps = np.full(n, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.multiply.accumulate(steps)
-    return _powers[0], _powers[1]
+def _power_table(base: int, n: int) -> np.ndarray:
+    """Powers of a base modulo 2^64, at least n of them."""
+    if len(_powers.get(base, ())) < n:
+        steps = np.full(n, base, np.uint64)
+        steps[0] = 1
+        _powers[base] = np.multiply.accumulate(steps)
+    return _powers[base]
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -83,17 +82,16 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """Prefix sums from which span_hash gets the hash of any span of bytes."""
-    power, _ = _power_tables(len(data) + 1)
+def prefix_hash(data: np.ndarray, lane: int = 0) -> np.ndarray:
+    """Prefix sums from which span_hash gets the hash of any span. Lanes are independent of each other."""
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=out[1:])
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power_table(_BASES[lane], len(data) + 1)[: len(data)], out=out[1:])
     return out
 
 
-def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the spans [start, end): equal bytes have equal hashes wherever they stand."""
-    _, inverse = _power_tables(len(prefix))
+def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, lane: int = 0) -> np.ndarray:
+    """64-bit hashes of the spans [start, end): equal contents have equal hashes wherever they stand."""
+    inverse = _power_table(pow(_BASES[lane], -1, 1 << 64), len(prefix))
     return mix64((prefix[end] - prefix[start]) * inverse[start] + (end - start).astype(np.uint64))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fingerprint, mixing, packing, quality, secrets, simhash
+from . import fingerprint, linededup, mixing, packing, quality, secrets, simhash
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op2_quality": quality.op2_quality,
         "op4_packing": packing.op4_packing,
         "op5_fingerprints": fingerprint.op5_fingerprints,
+        "op6_linededup": linededup.op6_linededup,
         "op7_simhash": simhash.op7_simhash,
         "op9_mixing": mixing.op9_mixing,
         "op10_secrets": secrets.op10_secrets,
@@ -17,4 +18,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_mixing": mixing.oracle_sql()}
+    return {"op6_linededup": linededup.ORACLE_SQL, "op9_mixing": mixing.oracle_sql()}
