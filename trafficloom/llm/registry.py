@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fingerprint, linededup, mixing, packing, quality, secrets, simhash
+from . import fingerprint, linededup, mixing, packing, quality, secrets, simhash, toxicity
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op5_fingerprints": fingerprint.op5_fingerprints,
         "op6_linededup": linededup.op6_linededup,
         "op7_simhash": simhash.op7_simhash,
+        "op8_toxicity": toxicity.op8_toxicity,
         "op9_mixing": mixing.op9_mixing,
         "op10_secrets": secrets.op10_secrets,
     }
