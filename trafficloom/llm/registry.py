@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import fingerprint, linededup, mixing, packing, quality, secrets, simhash, toxicity
+from . import fingerprint, linededup, mixing, packing, quality, secrets, simhash, tokencount, toxicity
 
 
 def queries() -> dict:
     return {
         "op2_quality": quality.op2_quality,
+        "op3_tokencount": tokencount.op3_tokencount,
         "op4_packing": packing.op4_packing,
         "op5_fingerprints": fingerprint.op5_fingerprints,
         "op6_linededup": linededup.op6_linededup,
