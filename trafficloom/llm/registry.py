@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import fingerprint, linededup, mixing, packing, quality, secrets, simhash, tokencount, toxicity
+from . import fingerprint, linededup, mixing, packing, quality, secrets, simhash, suffix, tokencount, toxicity
 
 
 def queries() -> dict:
     return {
+        "op1_suffix": suffix.op1_suffix,
         "op2_quality": quality.op2_quality,
         "op3_tokencount": tokencount.op3_tokencount,
         "op4_packing": packing.op4_packing,
