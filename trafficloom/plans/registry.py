@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from . import ingestion, space, streams, tables
+
+MODULES = (tables, ingestion, space, streams)
+
 
 def queries() -> dict:
-    return {}
+    return {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
