@@ -107,7 +107,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     runs = materialize(repeated_windows(docs, id_col, text)).withColumnsRenamed({"_id": "_rid", "_th": "_rth"})
     rows = _keyed(docs.select(*kept), id_col, text)
-    both = rows.join(runs, rows._id.eqNullSafe(runs._rid) & (rows._th == runs._rth), "left").select(*[rows[c] for c in kept], "runs")
+    # always a sort-merge join, at every size: what is repeated grows with the corpus
+    both = rows.join(runs.hint("merge"), rows._id.eqNullSafe(runs._rid) & (rows._th == runs._rth), "left").select(*[rows[c] for c in kept], "runs")
     at = kept.index(text)
 
     def run(batches):

@@ -124,4 +124,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     """
     groups = near_duplicate_groups(docs, id_col, text)
     gone = groups.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("gone_id")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone.gone_id), "left_anti")
+    # always a sort-merge join, at every size: what goes grows with the corpus
+    return docs.join(gone.hint("merge"), docs[id_col].eqNullSafe(gone.gone_id), "left_anti")
