@@ -29,38 +29,38 @@ END = 0xFF
 def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(positions sorted by the `depth` or more bytes that follow, starts of the runs with equal first 8 bytes).
 
-    Prefix doubling: runs of equal suffixes are sorted by what follows them, twice as deep each time.
+    The text is a circle, as the transform takes it to be. Prefix doubling: runs of equal suffixes are sorted by what
+    follows them, twice as deep each time.
     """
     n = len(text)
-    padded = np.zeros(n + 8, np.uint64)
-    padded[:n] = text
+    circle = np.resize(text, n + 8).astype(np.uint64)
     key = np.zeros(n, np.uint64)
     for k in range(8):
-        key = key << np.uint64(8) | padded[k : n + k]
+        key = key << np.uint64(8) | circle[k : n + k]
     order = np.argsort(key)
     sorted_key = key[order]
     new = np.ones(n, bool)
     new[1:] = sorted_key[1:] != sorted_key[:-1]
     seeds = np.flatnonzero(new)
-    rank = np.zeros(n + depth + 8, np.uint64)  # 1 + start of the suffix's run; 0 past the end
-    rank[order] = seeds[np.cumsum(new) - 1] + 1
+    rank = np.zeros(n, np.uint64)  # start of the suffix's run
+    rank[order] = seeds[np.cumsum(new) - 1]
     at = 8
     slots = np.arange(n)
     while at < depth:
         tied = ~new
         tied[:-1] |= ~new[1:]
-        slots, tied_new = slots[tied], new[tied]
+        slots = slots[tied]
         if not len(slots):
             break
         who = order[slots]
-        pair = rank[who] << np.uint64(32) | rank[who + at]
+        pair = rank[who] << np.uint64(32) | rank[(who + at) % n]
         by = np.argsort(pair)
         who, pair = who[by], pair[by]
         order[slots] = who
         new = np.ones(len(slots), bool)
         new[1:] = pair[1:] != pair[:-1]
         first = np.flatnonzero(new)
-        rank[who] = slots[first][np.cumsum(new) - 1] + 1
+        rank[who] = slots[first][np.cumsum(new) - 1]
         at *= 2
     return order, seeds
 
