@@ -144,3 +144,25 @@ def test_kafka_columns_and_latest(spark):
     assert tuple(readers.with_kafka_columns(raw).first()) == ("k", "{}", "t", 0, 5)
     df = spark.createDataFrame([(1, AT, "old"), (1, AT + timedelta(minutes=5), "new"), (2, AT - timedelta(hours=1), "stale")], "k int, ts timestamp_ntz, v string")
     assert [(r.k, r.v) for r in windows.latest_within(df, ["k"], "ts", F.lit(AT + timedelta(minutes=6))).collect()] == [(1, "new")]
+
+
+def test_jdbc_lookup_and_staging(spark, tmp_path):
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    spark.createDataFrame([(1, "a"), (2, None)], "ID int, GEOM string").write.jdbc(url, "ROADS")
+    got = readers.read_lookup_jdbc(spark, url, "ROADS", ["ID"], "GEOM is not null").collect()
+    assert [r.ID for r in got] == [1]
+    sql = sinks.stage_jdbc(spark.createDataFrame([(k, k) for k in range(501)], "SEG int, N int"), 1, url, "SILVER", ["SEG"])
+    assert spark.read.jdbc(url, "SILVER_staging").count() == 501 and sql.startswith("MERGE INTO SILVER t USING SILVER_staging s ON t.SEG = s.SEG")
+
+
+def test_streams_equal_their_batch_twins(spark, tmp_path):
+    from trafficloom.streaming import state
+
+    rows = [(k, "d", "t1" if k < 5 else "t2", AT + timedelta(minutes=5 * k)) for k in range(10)]
+    kind = "event_id long, device_id_hash string, tower_id string, timestamp timestamp"
+    spark.createDataFrame(rows, kind).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = state.flag_residential_stream(spark.readStream.schema(kind).parquet(str(tmp_path / "in")))
+    stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck")).trigger(once=True).start().awaitTermination()
+    got = {r.event_id: r.residential for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {r.event_id: r.residential for r in stateful.flag_residential(spark.createDataFrame(rows, kind)).collect()}
+    assert [got[k] for k in range(10)] == [False, False, False, True, True] * 2

@@ -19,9 +19,8 @@ def deserialize(df: DataFrame, source_type: str | None = None, envelope: str = "
         raise ValueError(f"unknown source type: {source_type}")
     flat = S.SOURCE_SCHEMAS[source_type]
     fields = [f.split() for f in flat.split(", ")]
-    lower = "allowNumericLeadingZeros", "true"
     value = F.col("value")
-    rows = df.withColumn("_p", F.from_json(value, flat, dict([lower]))).withColumn("parsed", F.get_json_object(value, "$").startswith("{") & F.col("_p").isNotNull())
+    rows = df.withColumn("_p", F.from_json(value, flat)).withColumn("parsed", F.get_json_object(value, "$").startswith("{") & F.col("_p").isNotNull())
     cols = []
     for name, kind in fields:
         c = F.col("_p")[name]

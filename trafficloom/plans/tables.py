@@ -149,3 +149,13 @@ UNION ALL SELECT 'min_edges', CASE WHEN count(*) < 1000 THEN 1 ELSE 0 END::BIGIN
 )
 def quality_report(spark, sf_dir):
     return quality.refresh(B.traffic_events(spark, sf_dir), B.road_edges(spark, sf_dir))[2]
+
+
+@query(f"WITH {B.silver_cte()} SELECT road_segment_id, vehicle_count, congestion_level, count(*) AS n_rows FROM silver GROUP BY 1, 2, 3")
+def event_json(spark, sf_dir):
+    """Events to outgoing JSON and back."""
+    from trafficloom.operators.ingest import to_event_json
+
+    out = to_event_json(_silver(spark, sf_dir).drop("congestion_level"))
+    back = out.select(F.from_json("value", "road_segment_id long, vehicle_count long, congestion_level string").alias("e")).select("e.*")
+    return back.groupBy("road_segment_id", "vehicle_count", "congestion_level").agg(F.count("*").alias("n_rows"))
