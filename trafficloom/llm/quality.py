@@ -19,7 +19,7 @@ MAX_SHOUTS_PER_WORD = 0.5  # punctuation: '!' and '?' a word
 MAX_UPPER_SHARE = 0.7  # punctuation: capitals among the letters of a line of several words
 MIN_SHOUT_WORDS = 3
 MAX_SEPARATORS_PER_WORD = 0.3  # navigation: menu separators a word
-SEPARATORS = b"|>\xbb\xa6"
+SEPARATORS = b"|>"
 #: Boilerplate phrases of page frames.
 BOILERPLATE = (
     b"all rights reserved",
@@ -165,3 +165,30 @@ def line_quality(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wi
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality(documents(spark, sf_dir))
+
+
+_PHRASES = " OR ".join(f"contains(lower(line), '{p.decode()}')" for p in BOILERPLATE)
+_W = r"[^\x20\x09-\x0D]+"
+_SYM = r"[#*$%&|<>]"
+_LEADS = " || ' ' || ".join(["w", *(f"lead(w, {k}) OVER o" for k in range(1, REPEAT_WINDOW))])
+ORACLE_SQL = rf"""
+WITH raw AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE text IS NOT NULL),
+lines AS (SELECT *, regexp_extract_all(line, '{_W}') AS ws FROM raw),
+full_lines AS (SELECT *, len(ws) AS words, row_number() OVER (PARTITION BY doc_id, line ORDER BY pos) > 1 AS again,
+  len(regexp_extract_all(line, '[#*$%&<]')) AS sym, len(regexp_extract_all(line, '[!?]')) AS shout, len(regexp_extract_all(line, '[|>]')) AS sep,
+  len(regexp_extract_all(line, '[A-ZÀ-Þ]')) AS capitals, len(regexp_extract_all(line, '[A-Za-zÀ-ÿ]')) AS letters,
+  len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS stutter FROM lines WHERE len(ws) > 0),
+ruled AS (SELECT *, sym::DOUBLE / words > {MAX_SYMBOLS_PER_WORD}::DOUBLE OR shout::DOUBLE / words > {MAX_SHOUTS_PER_WORD}::DOUBLE OR (capitals > {MAX_UPPER_SHARE}::DOUBLE * letters AND words >= {MIN_SHOUT_WORDS}) AS punctuation,
+  sep::DOUBLE / words > {MAX_SEPARATORS_PER_WORD}::DOUBLE AS navigation, again OR stutter > {MAX_STUTTER_SHARE}::DOUBLE * words OR {_PHRASES} AS boilerplate FROM full_lines),
+per_doc AS (SELECT doc_id, sum(words)::BIGINT AS n_words, count_if(again) AS n_dup_lines, count_if(punctuation) AS n_punctuation_lines, count_if(navigation) AS n_navigation_lines, count_if(boilerplate) AS n_boilerplate_lines,
+  sum(CASE WHEN punctuation OR navigation OR boilerplate THEN 0 ELSE words END)::BIGINT AS kept_words FROM ruled GROUP BY doc_id),
+words AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{_W}') AS ws FROM documents)),
+windows AS (SELECT doc_id, i, {_LEADS} AS body FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+twice AS (SELECT doc_id, i FROM windows WHERE body IS NOT NULL QUALIFY count(*) OVER (PARTITION BY doc_id, body) > 1),
+repeats AS (SELECT doc_id, count(DISTINCT i + k)::BIGINT AS n FROM twice, range({REPEAT_WINDOW}) r(k) GROUP BY doc_id),
+counts AS (SELECT d.doc_id, coalesce(p.n_words, 0) AS n_words, coalesce(length(array_to_string(regexp_extract_all(text, '{_W}'), '')), 0) AS word_chars, coalesce(len(regexp_extract_all(text, '{_SYM}')), 0) AS n_symbols,
+  coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, coalesce(n_punctuation_lines, 0)::BIGINT AS n_punctuation_lines, coalesce(n_navigation_lines, 0)::BIGINT AS n_navigation_lines, coalesce(n_boilerplate_lines, 0)::BIGINT AS n_boilerplate_lines, coalesce(kept_words, 0) AS kept_words
+  FROM documents d LEFT JOIN per_doc p ON p.doc_id = d.doc_id LEFT JOIN repeats r ON r.doc_id = d.doc_id)
+SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED_SHARE} * n_words AS base_failed,
+  NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED_SHARE} * n_words) AND kept_words >= {MIN_KEPT_SHARE}::DOUBLE * n_words AS kept FROM counts
+"""

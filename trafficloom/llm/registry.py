@@ -21,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_linededup": linededup.ORACLE_SQL, "op9_mixing": mixing.oracle_sql()}
+    return {"op2_quality": quality.ORACLE_SQL, "op6_linededup": linededup.ORACLE_SQL, "op9_mixing": mixing.oracle_sql(), "op10_secrets": secrets.oracle_sql()}

@@ -79,7 +79,7 @@ def entropy_range(text: Column, least: Column, window: int = WINDOW) -> Column:
         chars = F.array_distinct(F.split(first, ""))
         s0 = F.aggregate(chars, F.lit(0.0), lambda s, c: s + F.when(c == "", F.lit(0.0)).otherwise(_xlogx(_count(first, c))))
         none = F.lit(None).cast("int")
-        hit0 = log_w - s0 / window >= least
+        hit0 = F.round(log_w - s0 / window, 9) >= least
         state = F.struct(s0.alias("s"), F.when(hit0, b).otherwise(none).alias("low"), F.when(hit0, b + window).otherwise(none).alias("high"))
 
         def step(acc, k):  # the window that begins at k (from 1) of the block
@@ -87,7 +87,7 @@ def entropy_range(text: Column, least: Column, window: int = WINDOW) -> Column:
             out, into = F.substring(x, k, F.lit(1)), F.substring(x, k + window, F.lit(1))
             c_out, c_in = _count(rest, out), _count(rest, into)
             s = acc["s"] - _xlogx(c_out + 1) + _xlogx(c_out) + _xlogx(c_in + 1) - _xlogx(c_in)
-            hit = log_w - s / window >= least
+            hit = F.round(log_w - s / window, 9) >= least
             return F.struct(s.alias("s"), F.coalesce(acc["low"], F.when(hit, b + k)).alias("low"), F.when(hit, b + k + window).otherwise(acc["high"]).alias("high"))
 
         steps = F.when(F.length(x) > window, F.sequence(F.lit(1), F.length(x) - window)).otherwise(F.array().cast("array<int>"))
@@ -137,3 +137,26 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets(documents(spark, sf_dir))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     return found.select("doc_id", *[count(kind).alias(f"n_{kind}") for kind, *_ in BASE], F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))
+
+
+def oracle_sql() -> str:
+    """The same in DuckDB SQL: matches by extraction and splitting, entropies of all windows of a candidate."""
+    quote = lambda p: p.replace("'", "''")
+    kinds = [(rank, kind, pattern, group, least) for rank, (kind, pattern, group, least) in enumerate(BASE)] + [(len(BASE), "entropy", CANDIDATE, 0, WINDOW)]
+    parts = [f"SELECT doc_id, {rank} AS rank, '{kind}' AS kind, {least} AS least, regexp_extract_all(t, '{quote(p)}') AS hits, regexp_extract_all(t, '{quote(p)}', {group}) AS vals, string_split_regex(t, '{quote(p)}') AS gaps FROM docs" for rank, kind, p, group, least in kinds]
+    listed = " OR ".join(f"regexp_matches(x, '{quote(rule)}')" for rule in ALLOW)
+    least = "CASE " + " ".join(f"WHEN regexp_matches(x, '{quote(rule)}') THEN {bits}" for _, rule, bits in CLASSES) + " END"
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+cut AS ({' UNION ALL '.join(parts)}),
+each AS (SELECT doc_id, rank, kind, least, unnest(hits) AS hit, unnest(vals) AS val, unnest(gaps[1:len(hits)]) AS gap, generate_subscripts(hits, 1) AS i FROM cut WHERE len(hits) > 0),
+placed AS (SELECT *, (sum(length(gap)) OVER w + sum(length(hit)) OVER w - length(hit))::BIGINT AS a, (sum(length(gap)) OVER w + sum(length(hit)) OVER w)::BIGINT AS b FROM each WINDOW w AS (PARTITION BY doc_id, rank ORDER BY i)),
+base AS (SELECT doc_id, rank, kind, a, b FROM placed WHERE rank < {len(BASE)} AND length(val) >= least),
+free AS (SELECT doc_id, a, hit AS x FROM placed p WHERE rank = {len(BASE)} AND NOT EXISTS (SELECT 1 FROM base s WHERE s.doc_id = p.doc_id AND s.a < p.b AND p.a < s.b)),
+windows AS (SELECT doc_id, a, k, x, string_split(substr(x, k::BIGINT, {WINDOW}), '') AS cs FROM free, unnest(range(1, length(x) - {WINDOW} + 2)) r(k) WHERE NOT ({listed})),
+bits AS (SELECT doc_id, a, k, round(log2({WINDOW}) - list_sum(list_transform(list_distinct(cs), lambda c: len(list_filter(cs, lambda y: y = c)) * log2(len(list_filter(cs, lambda y: y = c))))) / {WINDOW}, 9) >= ({least})::DOUBLE AS hit FROM windows),
+found AS (SELECT doc_id, {len(BASE)} AS rank, 'entropy' AS kind, (a + min(k) - 1)::BIGINT AS a, (a + max(k) - 1 + {WINDOW})::BIGINT AS b FROM bits WHERE hit GROUP BY doc_id, a),
+spans AS (SELECT * FROM base UNION ALL SELECT * FROM found)
+SELECT d.doc_id, {', '.join(f"(SELECT count(*) FROM base s WHERE s.doc_id = d.doc_id AND s.kind = '{kind}') AS n_{kind}" for kind, *_ in BASE)},
+ sha256(coalesce((SELECT string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank) FROM base s WHERE s.doc_id = d.doc_id), '')) AS base_sha256,
+ coalesce((SELECT string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank) FROM spans s WHERE s.doc_id = d.doc_id), '') AS spans FROM docs d"""
