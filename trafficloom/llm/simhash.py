@@ -52,22 +52,23 @@ def _fingerprint_rows(data: np.ndarray, offsets: np.ndarray, width: int) -> np.n
     return out
 
 
-def fingerprints(docs: DataFrame, text: str = "text", out: str = "fingerprint", width: int = SHINGLE_WORDS) -> DataFrame:
-    """`docs` with a column `out` (long, the 64 bits of the SimHash; it replaces a column of that name).
+def fingerprints(docs: DataFrame, text: str = "text", out: str = "fingerprint", width: int = SHINGLE_WORDS, keep_text: bool = True) -> DataFrame:
+    """`docs` (without keep_text: less its text) with a column `out`, the 64 bits of the SimHash as long; it replaces a column of that name.
 
     Words are maximal runs without white space, A-Z lower-cased; features are the hashes (XXH64, seed 42) of all word
     shingles, repeats included. A bit is 1 if more than half of the hashes have it. Fewer words than a shingle: the
     whole sequence; null, empty or blank text: 0.
     """
-    kept = [c for c in docs.columns if c != out]
+    read = [c for c in docs.columns if c != out]
+    kept = [c for c in read if keep_text or c != text]
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(out, T.LongType())])
 
     def run(batches):
         for rows, data, offsets in chunks(batches, text):
             fp = _fingerprint_rows(data, offsets, width).view(np.int64)
-            yield pa.RecordBatch.from_arrays([rows.column(k) for k in range(rows.num_columns)] + [pa.array(fp)], names=[*rows.schema.names, out])
+            yield pa.RecordBatch.from_arrays([*(rows.column(read.index(c)) for c in kept), pa.array(fp)], names=[*kept, out])
 
-    return docs.select(*kept).mapInArrow(run, schema)
+    return docs.select(*read).mapInArrow(run, schema)
 
 
 def ball_links(prints: DataFrame, fp: str = "fp", radius: int = RADIUS) -> DataFrame:
@@ -96,19 +97,20 @@ def ball_links(prints: DataFrame, fp: str = "fp", radius: int = RADIUS) -> DataF
 
 
 def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """(id_col, fp, component_id): documents whose fingerprints are linked, chains included; component_id is the group's smallest id.
+    """(id_col, text_hash, fp, component_id): documents whose fingerprints are linked, chains included; component_id is the group's smallest id.
 
     Equal fingerprints are one node, so copies never multiply. Null ids are rows of their own in a group but never name it
     unless all its ids are null. An empty table gives no rows.
     """
-    rows = materialize(fingerprints(docs.select(id_col, text), text, "fp").select(id_col, "fp"))
+    own = docs.select(id_col, F.col(text).alias("_t"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"))
+    rows = materialize(fingerprints(own, "_t", "fp", keep_text=False))
     nodes = rows.groupBy("fp").agg(F.min(id_col).alias("lowest"))
     links = connected_components(ball_links(nodes, "fp", radius))
     owner = nodes.join(links, nodes.fp == links.node, "left").select("fp", "lowest", F.coalesce("component", "fp").alias("root"))
     owner = materialize(owner)
     names = owner.groupBy("root").agg(F.min("lowest").alias("component_id"))
     named = materialize(owner.join(names, "root").select("fp", "component_id"))
-    return rows.join(named, "fp").select(id_col, "fp", "component_id")
+    return rows.join(named, "fp").select(id_col, "text_hash", "fp", "component_id")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,11 +120,13 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` without the near-duplicates: of each group the document with the smallest id stays, null ids only if the group has no other.
+    """`docs` without the near-duplicates: of each group the document with the smallest id stays.
 
-    Rows that share the id that stays all stay if their fingerprints are equal to the survivor's group (they are one document).
+    A row is known by its id and its text, so of rows that share an id each stays or goes by its own text. Rows with null
+    ids stay only in groups that have no other ids; there all stay.
     """
     groups = near_duplicate_groups(docs, id_col, text)
-    gone = groups.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("gone_id")).distinct()
+    gone = groups.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_gone_id"), F.col("text_hash").alias("_gone_hash")).distinct()
+    same = docs[id_col].eqNullSafe(gone["_gone_id"]) & (F.xxhash64(F.coalesce(docs[text], F.lit(""))) == gone["_gone_hash"])
     # always a sort-merge join, at every size: what goes grows with the corpus
-    return docs.join(gone.hint("merge"), docs[id_col].eqNullSafe(gone.gone_id), "left_anti")
+    return docs.join(gone.hint("merge"), same, "left_anti")
