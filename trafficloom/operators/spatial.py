@@ -111,7 +111,6 @@ def locate_along(points: DataFrame, route_parts: DataFrame, route: str = "route_
     route_parts: route_id, seq, start_lat, start_lon, end_lat, end_lon, length_m. A distance is met in the first part that
     ends at or beyond it; beyond the end, in the last part. Parts without length are passed over.
     """
-    w = Window.partitionBy(route).orderBy("seq")
     parts = route_parts.where("length_m > 0").select(F.col(route).alias("_route"), *["seq", "start_lat", "start_lon", "end_lat", "end_lon", "length_m"])
     w = Window.partitionBy("_route").orderBy("seq")
     parts = parts.withColumn("_to", F.sum("length_m").over(w)).withColumn("_last", F.lead("seq").over(w).isNull())

@@ -85,15 +85,18 @@ def _pings(spark, sf_dir):
     return e.select("event_id", F.col("user_id").cast("string").alias("device_id_hash"), F.concat(F.lit("t"), F.floor(F.col("k") / 50)).alias("tower_id"), F.col("ts").alias("timestamp"))
 
 
-@query(f"""WITH {B.PINGS}, n AS (SELECT *, CASE WHEN lag(tower_id) OVER w IS DISTINCT FROM tower_id THEN 1 ELSE 0 END AS new FROM pings WINDOW w AS (PARTITION BY device_id ORDER BY timestamp, event_id)),
+_RESIDENTIAL = f"""WITH {B.PINGS}, n AS (SELECT *, CASE WHEN lag(tower_id) OVER w IS DISTINCT FROM tower_id THEN 1 ELSE 0 END AS new FROM pings WINDOW w AS (PARTITION BY device_id ORDER BY timestamp, event_id)),
 st AS (SELECT *, sum(new) OVER (PARTITION BY device_id ORDER BY timestamp, event_id ROWS UNBOUNDED PRECEDING) AS stay FROM n)
-SELECT event_id, timestamp >= min(timestamp) OVER (PARTITION BY device_id, stay) + INTERVAL 15 MINUTE AS residential FROM st""")
+SELECT event_id, timestamp >= min(timestamp) OVER (PARTITION BY device_id, stay) + INTERVAL 15 MINUTE AS residential FROM st"""
+
+
+@query(_RESIDENTIAL)
 def stream_residential(spark, sf_dir):
     _stateful(spark)
     return run_to_end(state.flag_residential_stream(_pings(spark, sf_dir)).select("event_id", "residential"), _scratch(spark), once=True)
 
 
-@query(f"WITH {B.PINGS}, n AS (SELECT *, CASE WHEN lag(tower_id) OVER w IS DISTINCT FROM tower_id THEN 1 ELSE 0 END AS new FROM pings WINDOW w AS (PARTITION BY device_id ORDER BY timestamp, event_id)), st AS (SELECT *, sum(new) OVER (PARTITION BY device_id ORDER BY timestamp, event_id ROWS UNBOUNDED PRECEDING) AS stay FROM n) SELECT event_id, timestamp >= min(timestamp) OVER (PARTITION BY device_id, stay) + INTERVAL 15 MINUTE AS residential FROM st")
+@query(_RESIDENTIAL)
 def residential(spark, sf_dir):
     rows = B.pings(spark, sf_dir).withColumnRenamed("device_id", "device_id_hash")
     return stateful.flag_residential(rows).select("event_id", "residential")
