@@ -123,7 +123,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     A row is known by its id and its text, so of rows that share an id each stays or goes by its own text. Rows with null
     ids stay only in groups that have no other ids; there all stay.
     """
-    groups = near_duplicate_groups(docs, id_col, text)
+    return keep_lowest(docs, near_duplicate_groups(docs, id_col, text), id_col, text)
+
+
+def keep_lowest(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """`docs` without the rows that are in a group (id_col, text_hash, component_id) but do not name it."""
     gone = groups.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_gone_id"), F.col("text_hash").alias("_gone_hash")).distinct()
     same = docs[id_col].eqNullSafe(gone["_gone_id"]) & (F.xxhash64(F.coalesce(docs[text], F.lit(""))) == gone["_gone_hash"])
     # always a sort-merge join, at every size: what goes grows with the corpus
