@@ -55,7 +55,7 @@ def _boxes(spark, sf_dir):
     lon, lat = F.transform(g, lambda p: p["lon"]), F.transform(g, lambda p: p["lat"])
     x0, x1, y0, y1 = F.array_min(lon) - 0.0007, F.array_max(lon) + 0.0007, F.array_min(lat) - 0.0007, F.array_max(lat) + 0.0007
     point = lambda x, y: F.struct(x.alias("lon"), y.alias("lat"))
-    return B.road_edges(spark, sf_dir).where("id < 300").select(F.col("id").alias("road_segment_id"), F.array(point(x0, y0), point(x1, y0), point(x1, y1), point(x0, y1)).alias("buffer_geom"))
+    return B.road_edges(spark, sf_dir).select(F.col("id").alias("road_segment_id"), F.array(point(x0, y0), point(x1, y0), point(x1, y1), point(x0, y1)).alias("buffer_geom"))
 
 
 def _points(spark, sf_dir):
