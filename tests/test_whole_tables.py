@@ -2,7 +2,7 @@
 
 from datetime import datetime
 
-from trafficloom.plans import space
+from trafficloom.plans import space, tables
 
 
 def test_within_buffer_reads_every_road(spark, tmp_path):
@@ -24,3 +24,13 @@ def test_within_buffer_reads_every_road(spark, tmp_path):
                 want.append((i, c))
     got = sorted((r.event_id, r.road_segment_id) for r in space.within_buffer(spark, str(tmp_path)).collect())
     assert got == sorted(want) and {c for _, c in want} == set(roads)
+
+
+def test_predictions_of_odd_roads_count(spark, tmp_path):
+    at = datetime(2024, 1, 30)
+    customer = [(c, f"c{c}", 1, "BUILDING") for c in (3, 4, 5)]
+    spark.createDataFrame(customer, "c_custkey long, c_name string, c_nationkey int, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(1, 3, at, 250000.0), (2, 4, at, 300000.0)], "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1, 5, at, "view", 40.0, '{"k": 1}')], "event_id long, user_id long, ts timestamp_ntz, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    got = {r.road_segment_id: (r.predicted_speed_kmh, r.model) for r in tables.predictions_fallback(spark, str(tmp_path)).collect()}
+    assert got == {3: (25.0, "m1"), 4: (30.0, "m1"), 5: (40.0, "historical_avg")}
