@@ -15,3 +15,11 @@ def frame(spark, rows, extra=True):
     if extra:  # columns whose names the operators use themselves
         return spark.createDataFrame([(i, t, "en", "a", "b", 1) for i, t in rows], "doc_id long, text string, lang string, fp string, part string, component_id int")
     return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def thue_morse(k):
+    """Two unlike words of 2^k letters that agree under any polynomial hash modulo 2^64 from k = 11 on, or earlier."""
+    x = [0]
+    for _ in range(k):
+        x += [1 - b for b in x]
+    return "".join("ab"[b] for b in x), "".join("ba"[b] for b in x)

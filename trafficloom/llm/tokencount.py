@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import chunks, documents, prefix_hash, span_hash
+from .common import chunks, distinct_spans, documents
 
 SPACE = "▁"
 #: How far an unknown character scores below the worst piece.
@@ -39,7 +39,7 @@ class Counter:
         self._find.make_automaton()
         self._single = {p for p, _ in pieces if len(p) == 1}
         self._unknown = min(s for _, s in pieces) - UNKNOWN_PENALTY
-        self._known: dict[int, tuple[int, float, int]] = {}
+        self._known: dict[tuple[bytes, bool], tuple[int, float, int]] = {}
 
     def word(self, text: str) -> tuple[int, float, int]:
         """(pieces, score, unknown characters' bytes) of the best path.
@@ -91,16 +91,16 @@ class Counter:
         to = np.append(at[1:], n)
         head = lead[at]
         # at a text's start a word without a space has the sign all the same
-        own = span_hash(prefix_hash(data), at, to) + np.where(head, np.uint64(0x51ED270B), np.uint64(0))
-        keys, sample, which = np.unique(own, return_index=True, return_inverse=True)
+        sample, which = distinct_spans(data, at, to, head.astype(np.uint64))
         raw, known = data.tobytes(), self._known
         if len(known) > self.CACHE:
             known.clear()
         found = []
-        for key, a, b, h in zip(keys.tolist(), at[sample].tolist(), to[sample].tolist(), head[sample].tolist()):
+        for a, b, h in zip(at[sample].tolist(), to[sample].tolist(), head[sample].tolist()):
+            key = (raw[a:b], h)
             got = known.get(key)
             if got is None:
-                got = self.word((SPACE if h else "") + raw[a:b].decode().replace(" ", SPACE))
+                got = self.word((SPACE if h else "") + key[0].decode().replace(" ", SPACE))
                 if b - a <= self.REMEMBERED:
                     known[key] = got
             found.append(got)

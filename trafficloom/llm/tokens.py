@@ -8,7 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from .common import prefix_hash, span_hash
+from .common import distinct_spans
 
 #: Special token whose string in a text is one id.
 SPECIAL = "<|endoftext|>"
@@ -65,6 +65,7 @@ class Encoder:
     """Ids of a vocabulary of ranks (base64 token, rank per line); kept for a worker's life. Its cache is bounded."""
 
     CACHE = 200_000
+    REMEMBERED = 64  # bytes of the longest pre-token that is remembered
 
     def __init__(self, ranks_path: str, pattern: str, special_id: int | None = None):
         import tiktoken
@@ -73,7 +74,7 @@ class Encoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self._bpe = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={} if special_id is None else {SPECIAL: special_id})
         self._special = None if special_id is None else SPECIAL.encode()
-        self._ids: dict[int, bytes] = {}
+        self._ids: dict[bytes, bytes] = {}
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self._bpe.encode(text, allowed_special="all", disallowed_special=()), np.uint32)
@@ -91,14 +92,17 @@ class Encoder:
         lead = np.flatnonzero((data & 0xC0) != 0x80)
         at = lead[pretoken_starts(points, np.searchsorted(lead, offsets[:-1][offsets[:-1] < len(data)]))]
         to = np.append(at[1:], len(data))
-        keys, sample, which = np.unique(span_hash(prefix_hash(data), at, to), return_index=True, return_inverse=True)
+        sample, which = distinct_spans(data, at, to)
         if len(self._ids) > self.CACHE:
             self._ids.clear()
         have, encode, found = self._ids, self._bpe.encode_ordinary, []
-        for key, a, b in zip(keys.tolist(), at[sample].tolist(), to[sample].tolist()):
-            ids = have.get(key)
+        for a, b in zip(at[sample].tolist(), to[sample].tolist()):
+            word = raw[a:b]
+            ids = have.get(word)
             if ids is None:
-                ids = have[key] = np.array(encode(raw[a:b].decode()), np.uint32).tobytes()
+                ids = np.array(encode(word.decode()), np.uint32).tobytes()
+                if b - a <= self.REMEMBERED:
+                    have[word] = ids
             found.append(ids)
         size = np.array([len(x) >> 2 for x in found], np.int64)
         pool, base = np.frombuffer(b"".join(found), np.uint32), np.cumsum(size) - size
