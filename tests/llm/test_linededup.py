@@ -1,8 +1,10 @@
 import random
 
+import numpy as np
+
 from trafficloom.llm import linededup
 
-from .util import frame
+from .util import frame, thue_morse
 
 
 def brute(rows):
@@ -39,3 +41,18 @@ def test_null_empty_repeated_and_columns(spark):
     assert got.columns == [*frame(spark, []).columns, "n_lines", "n_removed"]
     # a null id comes first, so it keeps the lines
     assert sorted((r.doc_id or 0, r.text) for r in got.collect() if r.text is not None) == [(0, text), (1, ""), (1, "")]
+
+
+def test_fewer_positions_than_lines():
+    """One line is the fingerprint of several windows, and every least window has one."""
+    text = "\n".join(f"line {k} of a list" for k in range(1000)).encode()
+    doc, i, fp, begin, o, n, hashes = linededup._positions(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    assert len(i) < 700 and begin[-1] == len(n) == len(hashes) == 998
+    assert sorted(np.repeat(i, np.diff(begin)) + o) == list(range(998))
+
+
+def test_unlike_lines_whose_polynomials_agree(spark):
+    for k in (10, 11, 12):
+        a, b = thue_morse(k)
+        rows = [(1, " ".join(a)), (2, " ".join(b)), (3, f"{a}\n{b}\n{a}"), (4, f"{b}\n{a}\n{b}"), (5, f"{b}\n{a}\n{b}")]
+        assert {r.doc_id: (r.text, r.n_removed) for r in linededup.dedup_lines(frame(spark, rows)).collect()} == brute(rows)

@@ -6,17 +6,18 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, documents, materialize, mix64, prefix_hash, span_hash, word_spans
+from .common import chunks, discard, documents, materialize, word_spans
 
 #: A run is deletable with this many lines, or with this many words. Any such shared run holds a window that is one too.
 MIN_LINES = 3
 MIN_WORDS = 40
 
-_WINDOW_ROWS = "fp long, i int, n int, a long, b long"
+_POSITION_ROWS = "fp long, i int, near array<struct<o int, n int, a long, b long>>"
 
 
 def _lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -37,31 +38,44 @@ def _lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return at[keep], to[keep], doc[keep], number[keep], words[keep]
 
 
-def _windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Least deletable windows, from each line on and up to each line: document, first line, lines, hashes, fingerprint.
+def _hashes(raw: memoryview, at: list[int], to: list[int]) -> tuple[bytes, np.ndarray]:
+    """128-bit hashes of spans, one after the other, and as two columns."""
+    out = b"".join(xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(at, to))
+    return out, np.frombuffer(out, np.int64).reshape(-1, 2)
 
-    Lines are counted among those with words. The fingerprint is the least line hash of the window (winnowing); windows
-    of equal content have equal fingerprints.
+
+def _positions(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Winnowed lines: (document, line, fingerprint, first window of each and the end), and of the windows (first line less the line, lines, hashes).
+
+    Lines are counted among those with words. The least deletable windows, from each line forth and to each line back,
+    slide over the line hashes; the last line of the least hash in a window is its fingerprint, and one line that is
+    the fingerprint of several windows is one position. Equal windows have their fingerprint at the same place.
     """
     at, to, doc, _, words = _lines(data, offsets)
     n = len(at)
-    line = [span_hash(prefix_hash(data, lane), at, to, lane) for lane in (0, 1)]
+    empty = np.empty(0, np.int64)
+    if not n:
+        return empty, empty, empty, np.zeros(1, np.int64), empty, empty, np.empty((0, 2), np.int64)
+    digests, line = _hashes(memoryview(data), at.tolist(), to.tolist())
+    low = line[:, 0]
     sums = np.concatenate(([0], np.cumsum(words)))
     k = np.arange(n)
     forth = np.minimum(np.searchsorted(sums, sums[:-1] + MIN_WORDS) - k, MIN_LINES)
     back = np.minimum(k + 1 - (np.searchsorted(sums, sums[1:] - MIN_WORDS, "right") - 1), MIN_LINES)
-    first = np.concatenate((k, k + 1 - back))
-    size = np.concatenate((forth, back))
+    first, size = np.concatenate((k, k + 1 - back)), np.concatenate((forth, back))
     whole = (first >= 0) & (first + size <= n)
     first, size = first[whole], size[whole]
     whole = doc[first] == doc[first + size - 1]
-    first, size = np.unique(np.stack((first[whole], size[whole])), axis=1) if whole.any() else (first[:0], size[:0])
-    hashes = [span_hash(prefix_hash(mix64(line[lane] + np.uint64(lane)), lane), first, first + size, lane) for lane in (0, 1)]
-    low = line[0][first] if n else first.astype(np.uint64)
+    first, size = np.unique(np.stack((first[whole], size[whole])), axis=1) if whole.any() else (empty, empty)
+    least = first.copy()
     for step in range(1, MIN_LINES):
-        low = np.where(size > step, np.minimum(low, line[0][np.minimum(first + step, max(n - 1, 0))] if n else low), low)
-    begins = np.searchsorted(doc, doc[first]) if n else first
-    return doc[first] if n else first, first - begins, size, hashes[0], hashes[1], low
+        other = np.minimum(first + step, n - 1)
+        least = np.where((size > step) & (low[other] <= low[least]), other, least)
+    order = np.lexsort((size, first, least))
+    first, size, least = first[order], size[order], least[order]
+    _, hashes = _hashes(memoryview(digests), (first * 16).tolist(), ((first + size) * 16).tolist())
+    chosen, begin = np.unique(least, return_index=True)
+    return doc[chosen], chosen - np.searchsorted(doc, doc[chosen]), low[chosen], np.append(begin, len(first)), first - least, size, hashes
 
 
 def _keyed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -72,29 +86,35 @@ def _keyed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(_id, _th, runs): for each document with repeated runs, array<struct<i, n>> of windows that stand earlier in the corpus.
 
-    Earlier is by id (null first), text hash and line. A window whose fingerprint stands once is dropped before windows
-    are compared. Both comparisons are minima and counts that are summed before the shuffle and joined back, so a line
-    that a third of all documents have is no hot group.
+    Earlier is by id (null first), text hash and line. A position whose fingerprint stands once is dropped. Those left are
+    joined, by the windows around them, to the earliest place of the same window: a position may stand in several
+    surroundings, and each finds its own partner. Windows reach from a line forth and back, so those joined around a
+    position are the match extended both ways. Both comparisons are minima and counts that are summed before the
+    shuffle and joined back, so a line that a third of all documents have is no hot group.
     """
     kind = docs.schema[id_col].dataType
 
     def run(batches):
         for rows, data, offsets in chunks(batches, "_t"):
-            doc, i, n, a, b, fp = _windows(data, offsets)
+            doc, i, fp, begin, o, n, hashes = _positions(data, offsets)
             take = pa.array(doc, pa.int64())
+            windows = pa.StructArray.from_arrays([pa.array(o, pa.int32()), pa.array(n, pa.int32()), pa.array(hashes[:, 0]), pa.array(hashes[:, 1])], names=["o", "n", "a", "b"])
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0).take(take), rows.column(1).take(take), pa.array(fp.view(np.int64)), pa.array(i, pa.int32()), pa.array(n, pa.int32()), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))],
-                names=["_id", "_th", "fp", "i", "n", "a", "b"],
+                [rows.column(0).take(take), rows.column(1).take(take), pa.array(fp), pa.array(i, pa.int32()), pa.ListArray.from_arrays(pa.array(begin, pa.int32()), windows)],
+                names=["_id", "_th", "fp", "i", "near"],
             )
 
     keyed = _keyed(docs.select(id_col, F.col(text).alias("_t")), id_col, "_t").select("_id", "_th", "_t")
-    found = materialize(keyed.mapInArrow(run, f"_id {kind.simpleString()}, _th long, {_WINDOW_ROWS}"))
-    often = materialize(found.groupBy("fp").agg(F.count("*").alias("c")).where("c > 1").select("fp"))
-    found = materialize(found.join(often, "fp", "left_semi"))
+    every = materialize(keyed.mapInArrow(run, f"_id {kind.simpleString()}, _th long, {_POSITION_ROWS}"))
+    often = materialize(every.groupBy("fp").agg(F.count("*").alias("c")).where("c > 1").select("fp"))
+    found = materialize(every.join(often, "fp", "left_semi").select("_id", "_th", "i", F.inline("near")).select("_id", "_th", (F.col("i") + F.col("o")).alias("i"), "n", "a", "b"))
+    discard(every, often)
     where = F.struct("_id", "_th", "i")
     first = materialize(found.groupBy("a", "b").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("not (first <=> last)").select("a", "b", "first"))
     later = found.join(first, ["a", "b"]).where(~where.eqNullSafe(F.col("first")))
-    return later.groupBy("_id", "_th").agg(F.collect_set(F.struct("i", "n")).alias("runs"))
+    runs = materialize(later.groupBy("_id", "_th").agg(F.collect_set(F.struct("i", "n")).alias("runs")))
+    discard(found, first)
+    return runs
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -105,7 +125,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     and text are one document and are treated alike. An empty table gives no rows.
     """
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    runs = materialize(repeated_windows(docs, id_col, text)).withColumnsRenamed({"_id": "_rid", "_th": "_rth"})
+    runs = repeated_windows(docs, id_col, text).withColumnsRenamed({"_id": "_rid", "_th": "_rth"})
     rows = _keyed(docs.select(*kept), id_col, text)
     # always a sort-merge join, at every size: what is repeated grows with the corpus
     both = rows.join(runs.hint("merge"), rows._id.eqNullSafe(runs._rid) & (rows._th == runs._rth), "left").select(*[rows[c] for c in kept], "runs")
