@@ -29,10 +29,23 @@ def test_every_row_once_nulls_and_clashes(spark):
     assert {"text", "lang", "source", "probability", "kept"} <= set(full.columns)
     assert sorted((r.doc_id, r.kept) for r in full.collect()) == sorted((r.doc_id, r.kept) for r in got.collect())
     twice = mixing.mix(docs(spark, [(7, "a b")] * 4)).collect()
-    assert len(twice) == 4 and len({r.kept for r in twice if r._lang == "en"}) == 1
+    assert len(twice) == 4 and len({(r._source, r._lang, r.kept) for r in twice}) == len({(r._source, r._lang) for r in twice})
     assert mixing.mix(docs(spark, []).limit(0)).count() == 0
 
 
 def test_plan_is_native(spark):
     plan = mixing.mix(docs(spark, corpus()))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_residual_is_reported(spark):
+    """Targets that hold together are met to the last digit; those that contradict each other leave a residual, and no cell gives more than it has."""
+    frame_of = lambda dim, shares: spark.createDataFrame(list(shares.items()), f"_{dim} string, target double")
+    cells = spark.createDataFrame([("a", "x", "p", 90.0), ("a", "y", "p", 10.0), ("b", "x", "p", 30.0), ("b", "y", "p", 70.0), ("c", "x", "p", 0.0)], "_source string, _lang string, _topic string, tokens double")
+    good = mixing.rake(cells, targets={"source": frame_of("source", {"a": 0.3, "b": 0.7}), "lang": frame_of("lang", {"x": 0.4, "y": 0.6})}).collect()
+    assert max(r.residual for r in good) < 1e-8 and all(r.weight <= r.tokens + 1e-9 for r in good)
+    taken = {k: sum(r.weight for r in good if r._source == k) for k in "ab"}
+    assert abs(taken["a"] / (taken["a"] + taken["b"]) - 0.3) < 1e-8 and max(r.weight / r.tokens for r in good if r.tokens) > 1 - 1e-9
+    lone = spark.createDataFrame([("a", "x", "p", 90.0), ("b", "y", "p", 10.0)], cells.schema)
+    bad = mixing.rake(lone, targets={"source": frame_of("source", {"a": 0.5, "b": 0.5}), "lang": frame_of("lang", {"x": 0.9, "y": 0.1})}).collect()
+    assert bad[0].residual > 0.1 and all(r.weight <= r.tokens + 1e-9 for r in bad)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -19,9 +19,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     stars = materialize(_oriented(edges.select(F.col("a"), F.col("b")).dropna()))
     before = _state(stars)
     for _ in range(max_rounds):
-        stars = _large_star(stars, _lowest(stars))
-        stars = materialize(stars)
-        stars = materialize(_small_star(stars, _lowest(stars)))
+        for step in (_large_star, _small_star):
+            lowest = _lowest(stars)
+            after = materialize(step(stars, lowest))
+            discard(stars, lowest)
+            stars = after
         now = _state(stars)
         if now == before:
             break

@@ -16,6 +16,8 @@ from .common import CHUNK_BYTES, chunks, documents, fold_ascii, prefix_hash, shi
 
 SHINGLE_WORDS = 5
 K = 128
+#: Documents of one range of ids, about, at most.
+RANGE_ROWS = 100_000
 
 
 def sketches(data: np.ndarray, offsets: np.ndarray, width: int = SHINGLE_WORDS, k: int = K) -> list[np.ndarray]:
@@ -122,11 +124,12 @@ def beside_next(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     """Rows (part, guest, i, t) dealt by ranges of the id; each range also gets, as guests, the first rows of the range after it.
 
     The text is shuffled once. A null id is taken as the smallest. Range bounds are found from the ids alone; what reaches
-    the driver is two ids per range, and there are four ranges per shuffle partition of the session.
+    the driver is one id per range, and there are four ranges per shuffle partition of the session, or one for each
+    RANGE_ROWS documents if those are more.
     """
     spark = docs.sparkSession
     known = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // RANGE_ROWS))
     ids = docs.select(known.alias("i"))
     ends = ids.repartitionByRange(parts, "i").groupBy(F.spark_partition_id()).agg(F.min("i").alias("low"))
     lows = np.array(sorted(r.low for r in ends.select("low").collect()), np.int64)
@@ -170,8 +173,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
     """Per row its fingerprint, that of its edited text, and their likeness to each other and to the next row's.
 
     The edited text has its last floor(n_chars / 2) code points replaced by the first as many of the next document in
-    ascending id (after the last, the first; a lone document is its own next). Rows with one id are put in order by
-    their text; a null text is empty.
+    ascending id (after the last, the first; a lone document is its own next). Ids are integers. Rows with one id are put
+    in order by their text and stand in one range; a null id is the smallest; a null text is empty.
     """
 
     def run(batches):

@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, materialize
+from .common import discard, documents, materialize
 
 DIMENSIONS = ("source", "lang", "topic")
 #: Target share of a source, language or topic: its token share to this power, made to sum to 1.
-TEMPER = 0.8
-#: Share of all tokens that the mixture aims at.
-BUDGET = 0.85
-ROUNDS = 8
+TEMPER = 0.95
+#: Raking ends when no weight changes by more than this share of it in a round, or after so many rounds.
+TOLERANCE = 1e-9
+ROUNDS = 40
 SEED = "mix-1"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Topics by the signs of a text, in this order: signs, and how many words there are for each sign at most.
+REGISTERS = (("listing", "|", 5), ("symbols", "#$%&*", 5), ("exclaiming", "!", 5), ("figures", "0123456789", 50))
 
 
 def token_count(text: Column) -> Column:
@@ -22,10 +24,12 @@ def token_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def form_topic(text: Column, tokens: Column) -> Column:
-    """A topic from a text's form, for corpora without one: blank, listing, brief, long or prose."""
-    bars = F.length(text) - F.length(F.replace(text, F.lit("|"), F.lit("")))
-    return F.when(F.coalesce(tokens, F.lit(0)) == 0, "blank").when(5 * bars > tokens, "listing").when(tokens < 100, "brief").when(tokens >= 1000, "long").otherwise("prose")
+def register_topic(text: Column, tokens: Column) -> Column:
+    """A topic from what a text is written in, for corpora without one: blank, a register of REGISTERS, or prose."""
+    topic = F.when(F.coalesce(tokens, F.lit(0)) == 0, "blank")
+    for name, signs, words in REGISTERS:
+        topic = topic.when(words * (F.length(text) - F.length(F.translate(text, signs, ""))) > tokens, name)
+    return topic.otherwise("prose")
 
 
 def _cells(rows: DataFrame) -> DataFrame:
@@ -33,32 +37,46 @@ def _cells(rows: DataFrame) -> DataFrame:
 
 
 def _shares(cells: DataFrame, dim: str, temper: float) -> DataFrame:
-    """(_dim, target): target share of each value, from the tokens that it has."""
-    sums = cells.groupBy(f"_{dim}").agg(F.pow(F.sum("tokens"), F.lit(temper)).alias("p"))
-    whole = sums.agg(F.sum("p").alias("all"))
-    return sums.join(F.broadcast(whole)).select(f"_{dim}", (F.col("p") / F.col("all")).alias("target"))  # one row is broadcast
+    """(_dim, target): target share of each value, from the tokens that it has. Values without tokens have none."""
+    sums = materialize(cells.groupBy(f"_{dim}").agg(F.sum("tokens").alias("t")).select(f"_{dim}", F.when(F.col("t") > 0, F.pow("t", F.lit(temper))).otherwise(F.lit(0.0)).alias("p")))
+    whole = sums.agg(F.sum("p")).first()[0] or 1.0
+    return sums.select(f"_{dim}", (F.col("p") / F.lit(whole)).alias("target"))
 
 
-def rake(cells: DataFrame, temper: float = TEMPER, budget: float = BUDGET, rounds: int = ROUNDS, targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """`cells` (_source, _lang, _topic, tokens) with weight: tokens raked to the marginals, no more than the cell has.
+def rake(cells: DataFrame, temper: float = TEMPER, budget: float = 1.0, rounds: int = ROUNDS, targets: dict[str, DataFrame] | None = None) -> DataFrame:
+    """`cells` (_source, _lang, _topic, tokens) with weight, the tokens to take, and residual.
 
-    A round scales the weights to each dimension's targets in turn, then cuts what exceeds a cell's tokens. targets may
-    give a frame (_dim, target) for a dimension; the shares need not sum to 1 over the values that occur. Cells are as
-    many as there are combinations, few next to documents, and each round is a written table.
+    Each round scales the weights to each dimension's targets in turn, until none changes; then all are scaled alike, to
+    the most that asks no cell for more tokens than it has (and to `budget` of all tokens at most), so that the marginals
+    stay as raked. residual is the largest relative distance of a marginal from its target: 0 unless the targets
+    contradict each other. targets may give a frame (_dim, target) for a dimension; a value without a target gets nothing.
+    Cells are as many as there are combinations, few next to documents; each round is a written table.
     """
-    total = materialize(cells.agg(F.sum("tokens").alias("all")))
-    wanted = {}
-    for dim in DIMENSIONS:
-        share = (targets or {}).get(dim) or _shares(cells, dim, temper)
-        wanted[dim] = materialize(share.join(F.broadcast(total)).select(f"_{dim}", (F.col("target") * F.col("all") * budget).alias("want")))
+    total = cells.agg(F.sum("tokens")).first()[0] or 0.0
     fit = cells.withColumn("weight", F.col("tokens"))
+    for dim in DIMENSIONS:
+        share = (targets or {}).get(dim)
+        share = _shares(cells, dim, temper) if share is None else share
+        fit = fit.join(share.select(f"_{dim}", (F.col("target") * F.lit(total)).alias(f"_want_{dim}")), f"_{dim}", "left")
+    fit = materialize(fit.fillna(0.0, [f"_want_{dim}" for dim in DIMENSIONS]))
+
+    def beside(fit: DataFrame, dim: str) -> DataFrame:
+        return fit.join(fit.groupBy(f"_{dim}").agg(F.sum("weight").alias("_has")), f"_{dim}")
+
+    ratio = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(F.lit(0.0))
     for _ in range(rounds):
+        after = fit.withColumn("_before", F.col("weight"))
         for dim in DIMENSIONS:
-            has = fit.groupBy(f"_{dim}").agg(F.sum("weight").alias("has"))
-            scale = has.join(wanted[dim], f"_{dim}").select(f"_{dim}", F.when(F.col("has") > 0, F.col("want") / F.col("has")).otherwise(F.lit(0.0)).alias("scale"))
-            fit = fit.join(scale, f"_{dim}", "left").withColumn("weight", F.col("weight") * F.coalesce("scale", F.lit(0.0))).drop("scale")
-        fit = materialize(fit.withColumn("weight", F.least("weight", "tokens")))
-    return fit
+            after = beside(after, dim).withColumn("weight", F.col("weight") * ratio(f"_want_{dim}", "_has")).drop("_has")
+        after = materialize(after)
+        discard(fit)
+        change = after.where("_before > 0").agg(F.max(F.abs(F.col("weight") / F.col("_before") - 1))).first()[0]
+        fit = after.drop("_before")
+        if not change or change <= TOLERANCE:
+            break
+    worst = [beside(fit, dim).where(f"_want_{dim} > 0").agg(F.max(F.abs(F.col("_has") / F.col(f"_want_{dim}") - 1))).first()[0] or 0.0 for dim in DIMENSIONS]
+    most = fit.where("weight > 0").agg(F.min(F.col("tokens") / F.col("weight"))).first()[0] or 0.0
+    return fit.select(*[f"_{dim}" for dim in DIMENSIONS], "tokens", (F.col("weight") * F.lit(min(most, budget))).alias("weight"), F.lit(max(worst)).alias("residual"))
 
 
 def keys(docs: DataFrame, text: str, topic: Column | None) -> list[Column]:
@@ -66,50 +84,57 @@ def keys(docs: DataFrame, text: str, topic: Column | None) -> list[Column]:
     return [
         *[F.coalesce(F.col(d).cast("string"), F.lit("")).alias(f"_{d}") for d in ("source", "lang")],
         tokens.alias("_tokens"),
-        F.coalesce(topic, F.lit("")).alias("_topic") if topic is not None else form_topic(F.col(text), tokens).alias("_topic"),
+        F.coalesce(topic, F.lit("")).alias("_topic") if topic is not None else register_topic(F.col(text), tokens).alias("_topic"),
     ]
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", topic: Column | None = None, keep_text: bool = False, **options) -> DataFrame:
-    """One row per row of `docs`: id_col (keep_text: all columns), _source, _lang, _topic, _tokens, probability, kept.
+    """One row per row of `docs`: id_col (keep_text: all columns), _source, _lang, _topic, _tokens, probability, residual, kept.
 
     A row is kept with the probability weight / tokens of its cell, by a hash of its id: the same in every run, and equal
     for repeated ids. A null source, language or topic counts as "". Rows without tokens are kept if their cell has none.
     An empty table gives no rows. Columns of `docs` whose names begin as those added are replaced.
     """
-    added = {"_source", "_lang", "_topic", "_tokens", "probability", "kept"}
+    added = {"_source", "_lang", "_topic", "_tokens", "probability", "residual", "kept"}
     own = [F.col(c) for c in docs.columns if c not in added] if keep_text else [F.col(id_col)]
     rows = docs.select(*own, *keys(docs, text, topic))
     cells = materialize(_cells(rows if not keep_text else docs.select(*keys(docs, text, topic))))
-    fit = rake(cells, **options).select(*[F.col(f"_{d}") for d in DIMENSIONS], F.round(F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(F.lit(1.0)), 6).alias("probability"))
+    fit = rake(cells, **options).select(*[F.col(f"_{d}") for d in DIMENSIONS], F.round(F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(F.lit(1.0)), 6).alias("probability"), F.round("residual", 6).alias("residual"))
     draw = F.conv(F.substring(F.md5(F.concat(F.lit(SEED + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))), 1, 8), 16, 10).cast("double") / 4294967296.0
     return rows.join(materialize(fit), [f"_{d}" for d in DIMENSIONS]).withColumn("kept", draw < F.col("probability"))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, source, lang, topic, n_tokens, probability, kept for every document."""
+    """doc_id, source, lang, topic, n_tokens, probability, residual, kept for every document."""
     found = mix(documents(spark, sf_dir).select("doc_id", "text", "lang", "source"))
-    return found.select("doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"), "probability", "kept")
+    return found.select("doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"), "probability", "residual", "kept")
+
+
+#: Rounds of the SQL twin, which can't stop by a test.
+SQL_ROUNDS = 16
 
 
 def oracle_sql() -> str:
     """The same in DuckDB SQL, the rounds written out."""
+    registers = " ".join(f"WHEN {words} * (length(text) - length(translate(text, '{signs}', ''))) > n_tokens THEN '{name}'" for name, signs, words in REGISTERS)
     parts = [
         r"""rows AS (SELECT doc_id, text, coalesce(source, '') AS source, coalesce(lang, '') AS lang, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS n_tokens FROM documents)""",
-        """topics AS (SELECT doc_id, source, lang, n_tokens, CASE WHEN n_tokens = 0 THEN 'blank' WHEN 5 * (length(text) - length(replace(text, '|', ''))) > n_tokens THEN 'listing' WHEN n_tokens < 100 THEN 'brief' WHEN n_tokens >= 1000 THEN 'long' ELSE 'prose' END AS topic FROM rows)""",
-        "cells AS (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM topics GROUP BY ALL)",
+        f"topics AS (SELECT doc_id, source, lang, n_tokens, CASE WHEN n_tokens = 0 THEN 'blank' {registers} ELSE 'prose' END AS topic FROM rows)",
+        "cells AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM topics GROUP BY ALL)",
     ]
     for dim in DIMENSIONS:
-        parts.append(f"p_{dim} AS (SELECT {dim}, pow(sum(tokens), {TEMPER}) AS p FROM cells GROUP BY {dim})")
-        parts.append(f"want_{dim} AS (SELECT {dim}, p / (SELECT sum(p) FROM p_{dim}) * (SELECT sum(tokens) FROM cells) * {BUDGET} AS want FROM p_{dim})")
+        parts.append(f"p_{dim} AS (SELECT {dim}, CASE WHEN sum(tokens) > 0 THEN pow(sum(tokens), {TEMPER}) ELSE 0 END AS p FROM cells GROUP BY {dim})")
+        parts.append(f"want_{dim} AS MATERIALIZED (SELECT {dim}, p / (SELECT sum(p) FROM p_{dim}) * (SELECT sum(tokens) FROM cells) AS want FROM p_{dim})")
     last = "(SELECT *, tokens AS weight FROM cells)"
-    for k in range(ROUNDS):
+    for k in range(SQL_ROUNDS):
         for dim in DIMENSIONS:
             name = f"fit_{k}_{dim}"
-            weight = f"f.weight * CASE WHEN h.has > 0 THEN w.want / h.has ELSE 0 END"
-            weight = f"least({weight}, f.tokens)" if dim == DIMENSIONS[-1] else weight
-            parts.append(f"{name} AS MATERIALIZED (SELECT f.source, f.lang, f.topic, f.tokens, {weight} AS weight FROM {last} f JOIN (SELECT {dim}, sum(weight) AS has FROM {last} GROUP BY {dim}) h USING ({dim}) JOIN want_{dim} w USING ({dim}))")
+            parts.append(f"{name} AS MATERIALIZED (SELECT f.source, f.lang, f.topic, f.tokens, f.weight * CASE WHEN h.has > 0 THEN w.want / h.has ELSE 0 END AS weight FROM {last} f JOIN (SELECT {dim}, sum(weight) AS has FROM {last} GROUP BY {dim}) h USING ({dim}) JOIN want_{dim} w USING ({dim}))")
             last = name
-    parts.append(f"fit AS (SELECT source, lang, topic, round(CASE WHEN tokens > 0 THEN weight / tokens ELSE 1 END, 6) AS probability FROM {last})")
+    for dim in DIMENSIONS:
+        parts.append(f"off_{dim} AS (SELECT max(abs(has / want - 1)) AS off FROM (SELECT {dim}, sum(weight) AS has FROM {last} GROUP BY {dim}) JOIN want_{dim} USING ({dim}) WHERE want > 0)")
+    residual = f"round(greatest({', '.join(f'(SELECT coalesce(max(off), 0) FROM off_{dim})' for dim in DIMENSIONS)}), 6)"
+    most = f"(SELECT least(min(tokens / weight), 1) FROM {last} WHERE weight > 0)"
+    parts.append(f"fit AS (SELECT source, lang, topic, round(CASE WHEN tokens > 0 THEN weight * {most} / tokens ELSE 1 END, 6) AS probability FROM {last})")
     draw = f"('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0"
-    return f"WITH {', '.join(parts)} SELECT t.doc_id, t.source, t.lang, t.topic, t.n_tokens, probability, {draw} < probability AS kept FROM topics t JOIN fit USING (source, lang, topic)"
+    return f"WITH {', '.join(parts)} SELECT t.doc_id, t.source, t.lang, t.topic, t.n_tokens, probability, {residual} AS residual, {draw} < probability AS kept FROM topics t JOIN fit USING (source, lang, topic)"

@@ -18,7 +18,11 @@ CAPACITY = 2048
 LARGE_SHARE = 1 / 8
 #: Numbers of groups that are tried; the plan with the fewest sequences wins.
 GROUP_COUNTS = (16, 64, 256, None)
-SALTS = 64
+#: A length's pieces are ranked in shares of about so many, or of fewer.
+SHARE_ROWS = 500_000
+MIN_SALTS = 64
+#: The plan's slots (some 50 bytes each) are broadcast up to so many; lengths are at most the capacity, so there are hardly more.
+MAX_BROADCAST_SLOTS = 200_000
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ranks_path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
@@ -177,21 +181,25 @@ def assign(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """`found` (with a column length, and written somewhere: it is read more than once) with sequence_id and offset.
 
     A piece's slot is found from its rank among the pieces of its length. Ranks are made within salted shares of a
-    length, plus the sizes of the shares before, so a length that most pieces have is not ranked in one task.
+    length, plus the sizes of the shares before, so a length that most pieces have is not ranked in one task; there are
+    as many shares as keep each of them small.
     """
     spark = found.sparkSession
-    salted = found.withColumn("_salt", F.pmod(F.xxhash64(*found.columns), F.lit(SALTS)).cast("int"))
+    salts = max(MIN_SALTS, -(-found.count() // SHARE_ROWS))
+    salted = found.withColumn("_salt", F.pmod(F.xxhash64(*found.columns), F.lit(salts)).cast("int"))
     shares = materialize(salted.groupBy("length", "_salt").agg(F.count("*").alias("_n")))
     histogram = {r.length: r.n for r in shares.groupBy("length").agg(F.sum("_n").alias("n")).collect()}  # at most `capacity` rows
     slots = plan(histogram, capacity).slots
     table = spark.createDataFrame(slots, "_length long, _first long, _base long, _many long, _each long, _at long")
+    if len(slots) <= MAX_BROADCAST_SLOTS:
+        table = F.broadcast(table)
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     shares = shares.select("length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     within = F.row_number().over(Window.partitionBy("length", "_salt").orderBy(*[c for c in found.columns if c != "length"]))
-    ranked = salted.withColumn("_rank", within - 1).join(F.broadcast(shares), ["length", "_salt"]).withColumn("_rank", F.col("_rank") + F.col("_before"))
+    ranked = salted.withColumn("_rank", within - 1).join(shares, ["length", "_salt"]).withColumn("_rank", F.col("_rank") + F.col("_before"))
     fits = (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_first")) & (F.col("_rank") < F.col("_first") + F.col("_many") * F.col("_each"))
     step = F.col("_rank") - F.col("_first")
-    return ranked.join(F.broadcast(table), fits).select(
+    return ranked.join(table, fits).select(
         *found.columns,
         (F.col("_base") + F.floor(step / F.col("_each"))).cast("long").alias("sequence_id"),
         (F.col("_at") + F.pmod(step, F.col("_each")) * F.col("length")).cast("long").alias("offset"),

@@ -97,8 +97,19 @@ def entropy_range(text: Column, least: Column, window: int = WINDOW) -> Column:
     return F.struct(F.array_min(F.transform(found, lambda f: f["low"])).alias("low"), F.array_max(F.transform(found, lambda f: f["high"])).alias("high"))
 
 
+def _pieces(c: Column, base: Column) -> Column:
+    """array<struct<start, end>> of the parts of a candidate, of a window's length at least, that no base span covers."""
+    empty = F.array().cast("array<struct<start:int,end:int>>")
+    piece = lambda at, to: F.struct(at.alias("start"), to.alias("end"))
+    added = lambda found, at, to: F.when(to - at >= WINDOW, F.array_append(found, piece(at, to))).otherwise(found)
+    covering = F.filter(base, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"]))
+    start = F.struct(c["start"].alias("at"), empty.alias("found"))
+    step = lambda acc, s: F.struct(F.greatest(acc["at"], s["end"]).alias("at"), added(acc["found"], acc["at"], s["start"]).alias("found"))
+    return F.aggregate(covering, start, step, lambda acc: added(acc["found"], acc["at"], c["end"]))
+
+
 def _entropy_spans(text: Column, base: Column) -> Column:
-    """Spans of kind entropy, where candidates that are not on the allow-list hold random windows and touch no base span."""
+    """Spans of kind entropy, where what base spans leave of a candidate is not on the allow-list and holds random windows."""
     candidates = _spans(text, CANDIDATE, "entropy", len(BASE), 0, WINDOW, text.rlike(CANDIDATE))
 
     def judge(c):
@@ -109,10 +120,10 @@ def _entropy_spans(text: Column, base: Column) -> Column:
         least = F.lit(CLASSES[-1][2])
         for _, rule, bits in reversed(CLASSES[:-1]):
             least = F.when(x.rlike(rule), F.lit(bits)).otherwise(least)
-        touches = F.exists(base, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"]))
-        return F.when(~listed & ~touches, F.struct(c["start"].alias("start"), entropy_range(x, least).alias("r")))
+        return F.when(~listed, F.struct(c["start"].alias("start"), entropy_range(x, least).alias("r")))
 
-    judged = F.filter(F.transform(candidates, judge), lambda j: j["r"]["low"].isNotNull())
+    pieces = F.flatten(F.transform(candidates, lambda c: _pieces(c, base)))
+    judged = F.filter(F.transform(pieces, judge), lambda j: j["r"]["low"].isNotNull())
     return F.transform(judged, lambda j: F.struct((j["start"] + j["r"]["low"]).alias("start"), F.lit(len(BASE)).alias("rank"), F.lit("entropy").alias("kind"), (j["start"] + j["r"]["high"]).alias("end")))
 
 
@@ -120,7 +131,7 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
     """(id_col, base, found): arrays of struct<start, rank, kind, end> in order; `found` has the base spans and the entropy spans.
 
     Base spans of a kind are leftmost and do not overlap; a match that is too short is dropped after it is found. Null and
-    empty texts have no spans. One row per row of `docs`; no shuffle.
+    empty texts have no spans. One row per row of `docs`, repeated rows and null ids too; no shuffle. Columns of `docs` other than id_col and text are not read.
     """
     rows = docs.select(F.col(id_col), F.coalesce(F.col(text), F.lit("")).alias("_t"))
     t = F.col("_t")
@@ -152,7 +163,10 @@ cut AS ({' UNION ALL '.join(parts)}),
 each AS (SELECT doc_id, rank, kind, least, unnest(hits) AS hit, unnest(vals) AS val, unnest(gaps[1:len(hits)]) AS gap, generate_subscripts(hits, 1) AS i FROM cut WHERE len(hits) > 0),
 placed AS (SELECT *, (sum(length(gap)) OVER w + sum(length(hit)) OVER w - length(hit))::BIGINT AS a, (sum(length(gap)) OVER w + sum(length(hit)) OVER w)::BIGINT AS b FROM each WINDOW w AS (PARTITION BY doc_id, rank ORDER BY i)),
 base AS (SELECT doc_id, rank, kind, a, b FROM placed WHERE rank < {len(BASE)} AND length(val) >= least),
-free AS (SELECT doc_id, a, hit AS x FROM placed p WHERE rank = {len(BASE)} AND NOT EXISTS (SELECT 1 FROM base s WHERE s.doc_id = p.doc_id AND s.a < p.b AND p.a < s.b)),
+candidates AS (SELECT doc_id, a, b, hit FROM placed WHERE rank = {len(BASE)}),
+begins AS (SELECT doc_id, a, b, hit, a AS s FROM candidates UNION SELECT c.doc_id, c.a, c.b, c.hit, x.b AS s FROM candidates c JOIN base x ON x.doc_id = c.doc_id AND x.a < c.b AND c.a < x.b WHERE x.b < c.b),
+pieces AS (SELECT *, least(b, coalesce((SELECT min(x.a) FROM base x WHERE x.doc_id = p.doc_id AND x.a >= p.s), b)) AS e FROM begins p WHERE NOT EXISTS (SELECT 1 FROM base x WHERE x.doc_id = p.doc_id AND x.a <= p.s AND p.s < x.b)),
+free AS (SELECT doc_id, s AS a, substr(hit, (s - a + 1)::BIGINT, (e - s)::BIGINT) AS x FROM pieces WHERE e - s >= {WINDOW}),
 windows AS (SELECT doc_id, a, k, x, string_split(substr(x, k::BIGINT, {WINDOW}), '') AS cs FROM free, unnest(range(1, length(x) - {WINDOW} + 2)) r(k) WHERE NOT ({listed})),
 bits AS (SELECT doc_id, a, k, round(log2({WINDOW}) - list_sum(list_transform(list_distinct(cs), lambda c: len(list_filter(cs, lambda y: y = c)) * log2(len(list_filter(cs, lambda y: y = c))))) / {WINDOW}, 9) >= ({least})::DOUBLE AS hit FROM windows),
 found AS (SELECT doc_id, {len(BASE)} AS rank, 'entropy' AS kind, (a + min(k) - 1)::BIGINT AS a, (a + max(k) - 1 + {WINDOW})::BIGINT AS b FROM bits WHERE hit GROUP BY doc_id, a),

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WHITE, chunks, documents, fold_ascii, materialize, word_spans
+from .common import WHITE, chunks, discard, documents, fold_ascii, materialize, word_spans
 from .components import connected_components
+from .nearcopies import near_copy_groups
 
 SHINGLE_WORDS = 3
 RADIUS = 2
@@ -95,20 +96,21 @@ def ball_links(prints: DataFrame, fp: str = "fp", radius: int = RADIUS) -> DataF
 
 
 def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """(id_col, text_hash, fp, component_id): documents whose fingerprints are linked, chains included; component_id is the group's smallest id.
+    """(id_col, text_hash, fp, group, component_id): documents whose fingerprints are linked, chains included; component_id is the group's smallest id.
 
     Equal fingerprints are one node, so copies never multiply. Null ids are rows of their own in a group but never name it
     unless all its ids are null. An empty table gives no rows.
     """
     own = docs.select(id_col, F.col(text).alias("_t"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"))
     rows = materialize(fingerprints(own, "_t", "fp", keep_text=False))
-    nodes = rows.groupBy("fp").agg(F.min(id_col).alias("lowest"))
+    nodes = materialize(rows.groupBy("fp").agg(F.min(id_col).alias("lowest")))
     links = connected_components(ball_links(nodes, "fp", radius))
-    owner = nodes.join(links, nodes.fp == links.node, "left").select("fp", "lowest", F.coalesce("component", "fp").alias("root"))
+    owner = nodes.join(links, nodes.fp == links.node, "left").select("fp", "lowest", F.coalesce("component", "fp").alias("group"))
     owner = materialize(owner)
-    names = owner.groupBy("root").agg(F.min("lowest").alias("component_id"))
-    named = materialize(owner.join(names, "root").select("fp", "component_id"))
-    return rows.join(named, "fp").select(id_col, "text_hash", "fp", "component_id")
+    names = owner.groupBy("group").agg(F.min("lowest").alias("component_id"))
+    named = materialize(owner.join(names, "group").select("fp", "group", "component_id"))
+    discard(nodes, owner)
+    return rows.join(named, "fp").select(id_col, "text_hash", "fp", "group", "component_id")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,18 +119,30 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` without the near-duplicates: of each group the document with the smallest id stays.
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similar: bool = False) -> DataFrame:
+    """`docs` without the near-duplicates: of each group one row stays, the one with the smallest id.
 
-    A row is known by its id and its text, so of rows that share an id each stays or goes by its own text. Rows with null
-    ids stay only in groups that have no other ids; there all stay.
+    Groups are those of linked fingerprints or, with `similar`, of texts whose 5-word shingles have a likeness of 0.8 or
+    more: at that likeness 64-bit fingerprints differ in some 10 bits, beyond any ball that can be hashed, so there
+    MinHash bands find the candidates and the shingle sets decide. Of rows with one id the one of the least text hash
+    stays, of rows equal in both any one. A row with a null id stays only in a group without other ids.
     """
+    if similar:
+        return keep_lowest(docs, near_copy_groups(docs, id_col, text), id_col, text)
     return keep_lowest(docs, near_duplicate_groups(docs, id_col, text), id_col, text)
 
 
 def keep_lowest(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` without the rows that are in a group (id_col, text_hash, component_id) but do not name it."""
-    gone = groups.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_gone_id"), F.col("text_hash").alias("_gone_hash")).distinct()
-    same = docs[id_col].eqNullSafe(gone["_gone_id"]) & (F.xxhash64(F.coalesce(docs[text], F.lit(""))) == gone["_gone_hash"])
-    # always a sort-merge join, at every size: what goes grows with the corpus
-    return docs.join(gone.hint("merge"), same, "left_anti")
+    """One row of `docs` for each group of `groups` (id_col, text_hash, group)."""
+    own = groups.select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"), "group")
+    each = own.groupBy("group", "_id", "_hash").agg(F.count("*").alias("_rows"))
+    first = F.min(F.struct(F.col("_id").isNull(), "_id", "_hash", "_rows"))
+    stay = materialize(each.groupBy("group").agg(first.alias("r")).select("r._id", "r._hash", "r._rows"))
+    keyed = F.xxhash64(F.coalesce(docs[text], F.lit("")))
+    # always a sort-merge join, at every size: what stays grows with the corpus
+    kept = docs.join(stay.hint("merge"), docs[id_col].eqNullSafe(stay["_id"]) & (keyed == stay["_hash"]))
+    if stay.where("_rows > 1").isEmpty():
+        return kept.select(*[docs[c] for c in docs.columns])
+    columns = F.struct(*[docs[c] for c in docs.columns])
+    once = kept.where("_rows = 1").select(columns.alias("r"))
+    return once.unionByName(kept.where("_rows > 1").groupBy("_id", "_hash").agg(F.first(columns).alias("r")).select("r")).select("r.*")

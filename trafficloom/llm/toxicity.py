@@ -27,7 +27,8 @@ LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "
 SUBSTITUTED, REPEATED, DROPPED = -1.5, -0.7, -0.5
 FILLERS = ".-_*~^"
 _STRIP = ".,;:?!\"'()[]{}<>«»“”‘’%&#*~^"
-MAX_LENGTH = 40
+#: One-letter words in a row that may be a word written apart.
+MIN_SPACED = 4
 
 # --- the character model ----------------------------------------------------------------------------------------------
 
@@ -68,33 +69,48 @@ def language_model(counts: np.ndarray) -> np.ndarray:
     return np.log((tri + 5 * p2[None]) / (tri.sum(axis=2, keepdims=True) + 5)).astype(np.float32)
 
 
-def restore(word: str, model: np.ndarray) -> str:
-    """The likeliest plain word behind a disguised one: Viterbi over a lattice of letters that each sign may stand for.
+def lattice(word: str) -> list[list[tuple[str, float]]]:
+    """What each sign of a disguised word, with its repetitions, may stand for, and the log-probability of writing it so.
 
-    A sign stands for its letters, a filler for nothing, a repeated letter for one or two of it. A state is the last two
-    letters. Signs that stand for nothing known are dropped.
+    A letter repeated stands for one or two of it, a sign of LEET for its letters, any other sign for nothing.
     """
-    best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    out = []
     for sign, run in groupby(word):
         times = sum(1 for _ in run)
         if _NUMBER[ord(sign)]:
-            options = [(sign * k, 0.0 if k == times else REPEATED) for k in (1, 2) if k <= times]
+            out.append([(sign * k, 0.0 if k == times else REPEATED) for k in (1, 2) if k <= times])
         elif sign in LEET:
-            options = [(c * k, SUBSTITUTED * k) for c in LEET[sign] for k in (1, 2) if k <= times]
+            out.append([(c * k, SUBSTITUTED * k) for c in LEET[sign] for k in (1, 2) if k <= times])
         else:
-            options = [("", DROPPED)]
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, text) in best.items():
+            out.append([("", DROPPED)])
+    return out
+
+
+def restore(word: str, model: np.ndarray, apart: bool = False) -> str:
+    """The likeliest plain word behind a disguised one, or words (apart): Viterbi over the lattice; with `apart` a boundary may stand before any of its letters.
+
+    A state is the last two letters. The best paths are linked backwards, so a word of any length costs its length.
+    """
+    best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+    for options in lattice(word):
+        after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (score, path) in best.items():
             for letters, cost in options:
-                x, y, s = a, b, score + cost
-                for c in letters:
-                    z = int(_NUMBER[ord(c)])
-                    s += float(model[x, y, z])
-                    x, y = y, z
-                if (x, y) not in after or s > after[x, y][0]:
-                    after[x, y] = (s, text + letters)
+                for written in (letters, " " + letters) if apart and letters and b else (letters,):
+                    x, y, s = a, b, score + cost
+                    for c in written:
+                        z = int(_NUMBER[ord(c)])
+                        s += float(model[x, y, z])
+                        x, y = y, z
+                    if (x, y) not in after or s > after[x, y][0]:
+                        after[x, y] = (s, (path, written) if written else path)
         best = after
-    return max((s + float(model[a, b, 0]), t) for (a, b), (s, t) in best.items())[1]
+    path = max(((s + float(model[a, b, 0]), p) for (a, b), (s, p) in best.items()), key=lambda x: x[0])[1]
+    parts = []
+    while path is not None:
+        path, letters = path
+        parts.append(letters)
+    return "".join(reversed(parts))
 
 
 # --- features -----------------------------------------------------------------------------------------------------------
@@ -102,7 +118,7 @@ def restore(word: str, model: np.ndarray) -> str:
 
 def suspicious(word: str) -> bool:
     """Whether a word (folded, outer punctuation gone) may be a disguised one."""
-    if not 3 <= len(word) <= MAX_LENGTH or word.isalpha() and not any(a == b == c for a, b, c in zip(word, word[1:], word[2:])):
+    if len(word) < 3 or word.isalpha() and not any(a == b == c for a, b, c in zip(word, word[1:], word[2:])):
         return False
     return any(c.isalpha() for c in word)
 
@@ -147,23 +163,30 @@ class Reader:
                 out.update(found)
         return out
 
-    def spaced(self, letters: str) -> tuple[str, ...]:
-        """Features of a word whose letters stand apart."""
-        found = features(restore(letters, self.model)) if self.model is not None and suspicious(letters) or letters.isalpha() else []
-        return self._signs(found)
+    def spaced(self, letters: str) -> set[str]:
+        """Features of the words whose letters stand apart: of each likeliest word, and of the whole as one word."""
+        if self.model is None:
+            return set()
+        words = {restore(letters, self.model), *restore(letters, self.model, apart=True).split()}
+        return {f for w in words if len(w) > 2 for f in self._signs(features(w))}
 
 
 def _spaced_words(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, str]]:
-    """(document, letters) of every four or more words of one byte that follow each other."""
+    """(document, letters) of every MIN_SPACED or more words of one code point that follow each other."""
     start, end, doc = word_spans(data, offsets)
-    one = np.concatenate(([False], end - start == 1, [False]))
+    lead = data[start] if len(start) else data[:0]
+    size = 1 + (lead >= 0xC0).astype(np.int64) + (lead >= 0xE0) + (lead >= 0xF0)
+    one = np.concatenate(([False], end - start == size, [False]))
     rise, fall = np.flatnonzero(one[1:] & ~one[:-1]), np.flatnonzero(one[:-1] & ~one[1:])
     out = []
     for a, b in zip(rise.tolist(), fall.tolist()):
-        for d in np.unique(doc[a:b]).tolist() if b - a >= 4 else ():
-            own = start[a:b][doc[a:b] == d]
-            if 4 <= len(own) <= MAX_LENGTH:
-                out.append((d, data[own].tobytes().decode().lower()))
+        if b - a < MIN_SPACED:
+            continue
+        for d in np.unique(doc[a:b]).tolist():
+            own = np.flatnonzero(doc[a:b] == d) + a
+            if len(own) >= MIN_SPACED:
+                text = data[start[own[0]] : end[own[-1]]].tobytes().decode()
+                out.append((d, "".join(text.split()).lower()))
     return out
 
 
@@ -182,7 +205,7 @@ def held_out(id_column: Column) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, id_col: str = "doc_id", text: str = "text") -> tuple[dict[str, float], tuple[float, float]]:
+def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray | None, id_col: str = "doc_id", text: str = "text") -> tuple[dict[str, float], tuple[float, float]]:
     """Features with their log-odds ratios, and the logistic curve of their sum, from the labelled rows that are not held out.
 
     At most MAX_ROWS_PER_CLASS rows of either class are used, chosen by hash, so the sample is small enough to broadcast.
@@ -262,7 +285,7 @@ def _score(found: set[str], known: dict[str, float], curve: tuple[float, float])
     return 1 / (1 + math.exp(-max(-30.0, min(30.0, curve[0] + curve[1] * sum(sorted(known[f] for f in found))))))
 
 
-def scores(docs: DataFrame, fitted: tuple[dict[str, float], tuple[float, float]], model: np.ndarray, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def scores(docs: DataFrame, fitted: tuple[dict[str, float], tuple[float, float]], model: np.ndarray | None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id_col, score): the curve at the summed weights of the signs in the text. Null and empty texts have no signs."""
     known, curve = fitted
     kind = docs.schema[id_col].dataType.simpleString()
@@ -278,13 +301,14 @@ def scores(docs: DataFrame, fitted: tuple[dict[str, float], tuple[float, float]]
     return docs.select(id_col, text).mapInArrow(run, f"{id_col} {kind}, score double")
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", restoring: bool = True) -> DataFrame:
     """(id_col, held_out, score, predicted), one row per row of `docs`.
 
     The character model is counted over all of `docs`; the features are fitted on `labels` (id_col, toxic). Without
-    labels of both classes every score is QUIET. Rows with null ids are scored; they are not held out.
+    labels of both classes every score is QUIET. Rows with null ids are scored; they are not held out. Without `restoring`
+    words are read as they are written.
     """
-    model = language_model(trigram_counts(docs, text))
+    model = language_model(trigram_counts(docs, text)) if restoring else None
     found = scores(docs, fit(docs, labels, model, id_col, text), model, id_col, text)
     return found.select(id_col, held_out(F.col(id_col)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
