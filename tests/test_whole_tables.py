@@ -1,4 +1,4 @@
-"""Registered queries read all rows of their tables. The SQL twins of these still have the cuts, so brute force decides."""
+"""Registered queries read all rows of their tables."""
 
 from datetime import datetime
 

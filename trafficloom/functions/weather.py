@@ -17,11 +17,6 @@ def weather_condition(main: Column, description: Column, rain_mm: Column) -> Col
     return F.when(heavy, "heavy_rain").when(fog, "fog").when(rain, "rain").otherwise("clear")
 
 
-def first_float(json: Column, paths: list[str], default: float = 0.0) -> Column:
-    """The first of the JSON paths whose value is a number."""
-    return F.coalesce(*[F.get_json_object(json, p).try_cast("double") for p in paths], F.lit(default))
-
-
 def parse_any_timestamp(c: Column, fallback: Column) -> Column:
     """A UTC time from epoch seconds or ISO text (Z or an offset allowed; none: UTC), else the fallback. As timestamp_ntz."""
     text = c.cast("string")

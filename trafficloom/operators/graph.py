@@ -39,3 +39,19 @@ def neighbour_speeds(df: DataFrame, edges: DataFrame, mode: str = "aligned", ts:
             rows = pairs.select("_own", F.col("_speed").alias(f"{side}_speed_kmh"))
             out = out.join(rows, F.col(SEGMENT) == F.col("_own"), "left").drop("_own")
     return out
+
+
+def neighbour_summary(df: DataFrame, edges: DataFrame, speed: str = "avg_speed_kmh") -> DataFrame:
+    """`df` with n_pairs, upstream_speed_kmh and downstream_speed_kmh: what `neighbour_speeds` in mode "raw" makes of each row, summed up.
+
+    n_pairs is the number of its rows (a side without observations counts as one), the speeds are their means. Each
+    side is summed per segment before it meets the rows, so nothing is multiplied out.
+    """
+    seen = df.groupBy(F.col(SEGMENT).alias("_seen")).agg(F.count("*").alias("_n"), F.count(speed).alias("_m"), F.sum(speed).alias("_s"))
+    out, pairs = df, F.lit(1)
+    for side, near in zip(("upstream", "downstream"), adjacency(edges)):
+        near = near.where(F.col(f"{side}_id").isNotNull()).join(seen, F.col(f"{side}_id") == F.col("_seen"), "left")
+        sums = near.groupBy(F.col(SEGMENT).alias("_own")).agg(F.sum(F.coalesce("_n", F.lit(1))).alias(f"_n_{side}"), (F.sum("_s") / F.nullif(F.sum("_m"), F.lit(0))).alias(f"{side}_speed_kmh"))
+        out = out.join(sums, F.col(SEGMENT) == F.col("_own"), "left").drop("_own")
+        pairs = pairs * F.coalesce(f"_n_{side}", F.lit(1))
+    return out.withColumn("n_pairs", pairs).drop("_n_upstream", "_n_downstream")

@@ -65,20 +65,22 @@ def ingest_counts(df: DataFrame, source: str) -> DataFrame:
     return df.groupBy(F.lit(source).alias("source"), "outcome").agg(F.count("*").alias("n_rows"))
 
 
+_WEATHER = "name string, dt string, timestamp string, visibility string, rain struct<`1h`: string, `3h`: string>, weather array<struct<main: string, description: string>>, main struct<temp: string>"
+
+
 def weather_readings(df: DataFrame, json_col: str = "value", station: str = "unknown", fallback: Column | None = None) -> DataFrame:
-    """Readings from weather payloads, one per row; what is no JSON object goes."""
-    j = F.col(json_col)
-    at = lambda p: F.get_json_object(j, p)
-    rain = W.first_float(j, ["$.rain.1h", "$.rain.3h"])
-    stamp = W.parse_any_timestamp(F.coalesce(at("$.dt"), at("$.timestamp")), fallback if fallback is not None else W.utc_ntz(F.current_timestamp()))
-    return df.where(at("$").startswith("{")).select(
+    """Readings from weather payloads, one per row; what is no JSON object goes. A payload is parsed once."""
+    rows = df.where(F.get_json_object(json_col, "$").startswith("{")).withColumn("_j", F.from_json(json_col, _WEATHER))
+    number = lambda c, default: F.coalesce(*[F.col(f"_j.{x}").try_cast("double") for x in c], F.lit(default))
+    rows = rows.withColumn("_rain", number(["rain.`1h`", "rain.`3h`"], 0.0)).withColumn("_first", F.try_element_at("_j.weather", F.lit(1)))
+    return rows.select(
         *[c for c in df.columns if c != json_col],
-        F.coalesce(F.nullif(at("$.name"), F.lit("")), F.lit(station)).alias("station_id"),
-        stamp.alias("timestamp"),
-        W.weather_condition(at("$.weather[0].main"), at("$.weather[0].description"), rain).alias("condition"),
-        rain.alias("rainfall_mm"),
-        F.coalesce(at("$.visibility").try_cast("double"), F.lit(0.0)).alias("visibility_m"),
-        F.coalesce(at("$.main.temp").try_cast("double"), F.lit(0.0)).alias("temperature_c"),
+        F.coalesce(F.nullif(F.col("_j.name"), F.lit("")), F.lit(station)).alias("station_id"),
+        W.parse_any_timestamp(F.coalesce("_j.dt", "_j.timestamp"), fallback if fallback is not None else W.utc_ntz(F.current_timestamp())).alias("timestamp"),
+        W.weather_condition(F.col("_first.main"), F.col("_first.description"), F.col("_rain")).alias("condition"),
+        F.col("_rain").alias("rainfall_mm"),
+        number(["visibility"], 0.0).alias("visibility_m"),
+        number(["main.temp"], 0.0).alias("temperature_c"),
     )
 
 
@@ -88,45 +90,62 @@ def _object(c: Column) -> Column:
     return F.when(got.startswith("{"), got)
 
 
-def message_body(j: Column) -> Column:
-    """Text of a webhook message: body, message or text, else the first text.body under entry[].changes[].value.messages[]."""
-    schema = "struct<entry:array<struct<changes:array<struct<value:struct<messages:array<struct<text:struct<body:string>>>>>>>>>"
-    nested = F.from_json(j, schema)["entry"]
-    bodies = F.flatten(F.transform(nested, lambda e: F.flatten(F.transform(e["changes"], lambda c: F.transform(c["value"]["messages"], lambda m: m["text"]["body"])))))
+_REPORT = ("id", "incident_id", "incident_type", "lat", "lon", "reported_at", "source", "description", "severity")
+_HOOK = ", ".join(f"{k} string" for k in dict.fromkeys(("incident", "report", "payload", "body", "message", "text", *INCIDENT_KEYS)))
+_HOOK += ", entry array<struct<changes: array<struct<value: struct<messages: array<struct<text: struct<body: string>>>>>>>>"
+
+
+def _message_body(j: Column) -> Column:
+    """Text of a parsed webhook message: body, message or text, else the first text.body under entry[].changes[].value.messages[]."""
+    bodies = F.flatten(F.transform(j["entry"], lambda e: F.flatten(F.transform(e["changes"], lambda c: F.transform(c["value"]["messages"], lambda m: m["text"]["body"])))))
     first = F.try_element_at(F.filter(bodies, lambda b: b.isNotNull()), F.lit(1))
-    return F.coalesce(*[F.when(~F.get_json_object(j, f"$.{k}").startswith("{"), F.get_json_object(j, f"$.{k}")) for k in ("body", "message", "text")], first)
+    return F.coalesce(*[F.when(~j[k].startswith("{"), j[k]) for k in ("body", "message", "text")], first)
 
 
-def extract_incidents(df: DataFrame, json_col: str = "value", default_time: Column | None = None, id_cols: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(reports, dead letters) from webhook payloads.
+def read_incidents(df: DataFrame, json_col: str = "value") -> DataFrame:
+    """`df` with report, a struct of texts, or error, why there is none. A payload is parsed once, and what it holds once more.
 
     A report is the object under incident, report or payload; else the message text, read as a JSON object or as k=v
-    parts; else the payload itself if it has a report's keys. Defaults: a new id (a hash if id_cols are given), source
-    whatsapp, reported now.
+    parts; else the payload itself if it has a report's keys.
     """
-    j = F.col(json_col)
-    body = F.trim(message_body(j))
-    nested = F.coalesce(*[_object(F.get_json_object(j, f"$.{k}")) for k in ("incident", "report", "payload")])
-    pairs = F.to_json(X.parse_kv_text(body))
-    own = F.when(F.greatest(*[F.get_json_object(j, f"$.{k}").isNotNull() for k in INCIDENT_KEYS]), _object(j))
-    found = F.coalesce(nested, F.when(body.isNotNull(), F.coalesce(_object(body), pairs)).otherwise(own))
-    rows = df.withColumn("_r", found).withColumn("_error", F.when(F.col("_r").isNull(), F.when(body == "", "message is empty").when(body.isNotNull(), "message cannot be read").otherwise("unsupported payload")))
-    at = lambda p: F.get_json_object("_r", p)
+    rows = df.withColumn("_j", F.from_json(json_col, _HOOK))
+    rows = rows.withColumn("_body", F.trim(_message_body(F.col("_j"))))
+    nested = F.coalesce(*[F.when(F.col(f"_j.{k}").startswith("{"), F.col(f"_j.{k}")) for k in ("incident", "report", "payload")])
+    rows = rows.withColumn("_nested", nested)
+    own = F.when(F.greatest(*[F.col(f"_j.{k}").isNotNull() for k in INCIDENT_KEYS]), F.col(json_col))
+    said = F.when(F.col("_body").isNull(), own).otherwise(_object(F.col("_body")))
+    rows = rows.withColumn("_text", F.coalesce("_nested", said))
+    # a map only for texts that are no objects: the parts are read, not written as JSON and parsed again
+    rows = rows.withColumn("_pairs", F.when(F.col("_text").isNull() & F.col("_body").isNotNull(), X.parse_kv_text(F.col("_body"))))
+    rows = rows.withColumn("_object", F.from_json("_text", ", ".join(f"{k} string" for k in _REPORT)))
+    report = F.when(F.col("_text").isNotNull(), F.col("_object")).when(F.col("_pairs").isNotNull(), F.struct(*[F.col("_pairs")[k].alias(k) for k in _REPORT]))
+    error = F.when(F.col("_body") == "", "message is empty").when(F.col("_body").isNotNull(), "message cannot be read").otherwise("unsupported payload")
+    return rows.withColumn("report", report).withColumn("error", F.when(F.col("report").isNull(), error)).select(*df.columns, "report", "error")
+
+
+def report_columns(default_time: Column | None = None, id_cols: list[str] | None = None) -> list[Column]:
+    """The columns of a report read by read_incidents. Defaults: a new id (a hash if id_cols are given), source whatsapp, reported now."""
     new_id = F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in id_cols]), 256) if id_cols else F.uuid()
     now = default_time if default_time is not None else W.utc_ntz(F.current_timestamp())
+    r = F.col("report")
+    return [
+        F.coalesce(r["id"], r["incident_id"], new_id).alias("id"),
+        r["incident_type"].alias("incident_type"),
+        r["lat"].try_cast("double").alias("lat"),
+        r["lon"].try_cast("double").alias("lon"),
+        W.parse_any_timestamp(r["reported_at"], now).alias("reported_at"),
+        F.coalesce(r["source"], F.lit("whatsapp")).alias("source"),
+        r["description"].alias("description"),
+        r["severity"].try_cast("int").alias("severity"),
+    ]
+
+
+def extract_incidents(df: DataFrame, json_col: str = "value", default_time: Column | None = None, id_cols: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(reports, dead letters) from webhook payloads, as `read_incidents` reads them."""
+    rows = read_incidents(df, json_col)
     keep = [c for c in df.columns if c != json_col]
-    reports = rows.where("_r is not null").select(
-        *keep,
-        F.coalesce(at("$.id"), at("$.incident_id"), new_id).alias("id"),
-        at("$.incident_type").alias("incident_type"),
-        at("$.lat").try_cast("double").alias("lat"),
-        at("$.lon").try_cast("double").alias("lon"),
-        W.parse_any_timestamp(at("$.reported_at"), now).alias("reported_at"),
-        F.coalesce(at("$.source"), F.lit("whatsapp")).alias("source"),
-        at("$.description").alias("description"),
-        at("$.severity").try_cast("int").alias("severity"),
-    )
-    dlq = rows.where("_r is null").select(*keep, F.col(json_col).alias("original_payload"), F.lit("parse_error").alias("error_type"), F.col("_error").alias("error_message"))
+    reports = rows.where("report is not null").select(*keep, *report_columns(default_time, id_cols))
+    dlq = rows.where("report is null").select(*keep, F.col(json_col).alias("original_payload"), F.lit("parse_error").alias("error_type"), F.col("error").alias("error_message"))
     return reports, dlq
 
 

@@ -39,21 +39,35 @@ def spatial_within(points: DataFrame, roads: DataFrame, cell_deg: float = 0.01)
     return _at_cells(points, roads, cell_deg).where(G.in_polygon(F.col("lon"), F.col("lat"), F.col("buffer_geom"))).drop("buffer_geom")
 
 
-def within_distance(points: DataFrame, edges: DataFrame, meters: float = BUFFER_M, cell_deg: float = 0.01) -> DataFrame:
-    """`points` with road_segment_id and distance_m for every edge (id, geom) no further than `meters`."""
-    lat_pad = meters / G.M_PER_DEG
-
-    def part_cells(p):
-        top = F.greatest(F.abs(p["a"]["lat"]), F.abs(p["b"]["lat"])) + lat_pad
-        lon_pad = F.lit(lat_pad) / F.greatest(F.cos(F.radians(top)), F.lit(1e-6))
-        x0, x1 = F.least(p["a"]["lon"], p["b"]["lon"]) - lon_pad, F.greatest(p["a"]["lon"], p["b"]["lon"]) + lon_pad
-        y0, y1 = F.least(p["a"]["lat"], p["b"]["lat"]) - lat_pad, F.greatest(p["a"]["lat"], p["b"]["lat"]) + lat_pad
-        return _covering(x0, y0, x1, y1, cell_deg)
+def within_distance(points: DataFrame, edges: DataFrame, meters: float = BUFFER_M, cell_deg: float | None = None) -> DataFrame:
+    """`points` with road_segment_id and distance_m for every edge (id, geom) no further than `meters`.
 
-    cells = F.array_distinct(F.flatten(F.transform(G.line_parts(F.col("geom")), part_cells)))
-    roads = edges.select(F.col("id").alias("road_segment_id"), F.col("geom").alias("_geom"), cells.alias("_cells"))
-    near = _at_cells(points, roads, cell_deg).withColumn("distance_m", G.line_distance_m(F.col("lon"), F.col("lat"), F.col("_geom")))
-    return near.where(F.col("distance_m") <= meters).drop("_geom")
+    Cells are twice the distance wide (cell_deg: another width), and an edge is only in those that its line comes near to,
+    each with the parts that do. A cell's first part is in plain columns, so the common case is compiled; further parts of
+    the same edge in the same cell are in an array.
+    """
+    size = cell_deg or 2 * meters / G.M_PER_DEG
+    lat_pad = meters / G.M_PER_DEG
+    reach = 1.01 * (meters + size * G.M_PER_DEG / 2**0.5) + 1.0  # from a cell's middle to a line that is near any of its points
+    a, b = F.col("_p.a"), F.col("_p.b")
+    top = F.least(F.greatest(F.abs(a["lat"]), F.abs(b["lat"])) + lat_pad, F.lit(90.0))
+    lon_pad = F.lit(lat_pad) / F.greatest(F.cos(F.radians(top)), F.lit(1e-6))
+    x0, x1 = F.least(a["lon"], b["lon"]) - lon_pad, F.greatest(a["lon"], b["lon"]) + lon_pad
+    y0, y1 = F.least(a["lat"], b["lat"]) - lat_pad, F.greatest(a["lat"], b["lat"]) + lat_pad
+    parts = edges.select(F.col("id").alias("road_segment_id"), F.explode(G.line_parts(F.col("geom"))).alias("_p"))
+    parts = parts.select("road_segment_id", "_p", F.explode(_covering(x0, y0, x1, y1, size)).alias("_c"))
+    middle = lambda c: (F.col(f"_c.{c}") + 0.5) * size
+    parts = parts.where(G.point_part_distance_m(middle("x"), middle("y"), F.col("_p")) <= reach)
+    roads = parts.groupBy("road_segment_id", F.col("_c.x").alias("_rx"), F.col("_c.y").alias("_ry")).agg(F.collect_list("_p").alias("_parts"))
+    first = F.element_at("_parts", 1)
+    roads = roads.select("road_segment_id", "_rx", "_ry", *[first[e][c].alias(f"_{e}{c}") for e in "ab" for c in ("lon", "lat")], F.when(F.size("_parts") > 1, F.slice("_parts", 2, F.size("_parts"))).alias("_more"))
+    p = points.withColumn("_px", F.floor(F.col("lon") / size)).withColumn("_py", F.floor(F.col("lat") / size))
+    near = p.join(roads, (F.col("_px") == F.col("_rx")) & (F.col("_py") == F.col("_ry")))
+    own = F.struct(*[F.struct(F.col(f"_{e}lon").alias("lon"), F.col(f"_{e}lat").alias("lat")).alias(e) for e in "ab"])
+    lon, lat = F.col("lon"), F.col("lat")
+    more = F.when(F.col("_more").isNotNull(), F.array_min(F.transform("_more", lambda q: G.point_part_distance_m(lon, lat, q))))
+    near = near.withColumn("distance_m", F.least(G.point_part_distance_m(lon, lat, own), more))
+    return near.where(F.col("distance_m") <= meters).select(*points.columns, "road_segment_id", "distance_m")
 
 
 def filter_road_types(edges: DataFrame, col: str = "highway") -> DataFrame:
@@ -105,22 +119,27 @@ def road_type_breakdown(edges: DataFrame) -> DataFrame:
     return edges.groupBy("road_type").agg(F.count("*").alias("n_edges"))
 
 
-def locate_along(points: DataFrame, route_parts: DataFrame, route: str = "route_id", distance: str = "distance_m") -> DataFrame:
+def locate_along(points: DataFrame, route_parts: DataFrame, route: str = "route_id", distance: str = "distance_m", bucket_m: float = 1000.0) -> DataFrame:
     """`points` (route_id, distance_m, …) with the lat, lon and bearing at that distance along their route.
 
     route_parts: route_id, seq, start_lat, start_lon, end_lat, end_lon, length_m. A distance is met in the first part that
-    ends at or beyond it; beyond the end, in the last part. Parts without length are passed over.
+    ends at or beyond it; before the start, in the first part, beyond the end, in the last. Parts without length are
+    passed over. Points meet only the parts of their stretch of bucket_m metres, so a route with many points or parts is
+    spread over many keys.
     """
     parts = route_parts.where("length_m > 0").select(F.col(route).alias("_route"), *["seq", "start_lat", "start_lon", "end_lat", "end_lon", "length_m"])
     w = Window.partitionBy("_route").orderBy("seq")
-    parts = parts.withColumn("_to", F.sum("length_m").over(w)).withColumn("_last", F.lead("seq").over(w).isNull())
-    parts = parts.withColumn("_from", F.col("_to") - F.col("length_m")).withColumn("_first", F.lag("seq").over(w).isNull())
-    d = F.col(distance)
+    parts = parts.withColumn("_to", F.sum("length_m").over(w)).withColumn("_first", F.lag("seq").over(w).isNull())
+    parts = parts.withColumn("_from", F.col("_to") - F.col("length_m"))
+    ends = parts.groupBy(F.col("_route").alias("_of")).agg(F.max("_to").alias("_end"))
+    d, at = F.col(distance), F.col("_at")
+    placed = points.join(ends, F.col(route) == F.col("_of")).withColumn("_at", F.least(F.greatest(d.cast("double"), F.lit(0.0)), F.col("_end")))
+    placed = placed.where(d.isNotNull()).withColumn("_bucket", F.floor(at / bucket_m))
+    parts = parts.withColumn("_stretch", F.explode(F.sequence(F.floor(F.greatest("_from", F.lit(0.0)) / bucket_m), F.floor(F.col("_to") / bucket_m))))
     # half-open at the low end, so that a distance on a border belongs to the part that ends there
-    meets = (F.col(route) == F.col("_route")) & (F.col("_first") | (d > F.col("_from"))) & (F.col("_last") | (d <= F.col("_to")))
+    meets = (F.col(route) == F.col("_route")) & (F.col("_bucket") == F.col("_stretch")) & (F.col("_first") | (at > F.col("_from"))) & (at <= F.col("_to"))
     t = F.least(F.greatest((d - F.col("_from")) / F.col("length_m"), F.lit(0.0)), F.lit(1.0))
-    found = points.join(parts, meets)
-    return found.select(
+    return placed.join(parts, meets).select(
         *points.columns,
         (F.col("start_lat") + (F.col("end_lat") - F.col("start_lat")) * t).alias("lat"),
         (F.col("start_lon") + (F.col("end_lon") - F.col("start_lon")) * t).alias("lon"),

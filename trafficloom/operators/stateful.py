@@ -54,42 +54,70 @@ def dwell_anchor(df: DataFrame, step: str = "30 seconds", n: int = 3, threshold:
     return rows.withColumn(out, F.max("_run").over(w.rowsBetween(0, n - 1))).drop("_slow", "_next", "_run")
 
 
+def _fold(df: DataFrame, key: str, ts: str, tiebreak: str, schema, step) -> DataFrame:
+    """Runs `step(state, key, micros) -> (state, flag)` over each key's rows in order of time and tiebreak; `df` with the flags of the rows.
+
+    A task reads its keys sorted, batch by batch, and carries one key's state from batch to batch: however many rows a key
+    has, a task holds one batch and that state.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    flag = schema[-1].name
+    rows = df.select("*", F.col(key).alias("_k"), _micros(F.col(ts)).alias("_t")).repartition(key).sortWithinPartitions(F.col("_k"), F.col("_t").asc_nulls_last(), F.col(tiebreak))
+
+    def run(batches):
+        state, last = None, object()
+        for b in batches:
+            keys, times = b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist()
+            out = np.zeros(len(keys), bool)
+            for k, (own, t) in enumerate(zip(keys, times)):
+                if own != last:
+                    state, last = None, own
+                state, out[k] = step(state, t)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(out)], names=[*b.schema.names[:-2], flag])
+
+    return rows.mapInArrow(run, schema)
+
+
 def dedup_ttl(df: DataFrame, key: str = "id", ts: str = "reported_at", ttl_s: int = 1800, tiebreak: str = "event_id") -> DataFrame:
-    """Rows that do not come within the time to live of the last row kept of their key.
+    """Rows that do not come within the time to live of the last row kept of their key. Rows without a key or a time go.
 
-    The rule is sequential: a key's times are folded in order. A key's times must fit a task.
+    The rule is sequential within a key; see `_fold`.
     """
-    other = df.select(F.col(key).alias("_k"), F.struct(_micros(F.col(ts)).alias("t"), F.col(tiebreak).alias("b")).alias("_x")).where(F.col(ts).isNotNull())
-    folded = other.groupBy("_k").agg(F.sort_array(F.collect_list("_x")).alias("_xs"))
-    start = F.struct(F.lit(None).cast("long").alias("last"), F.array().cast(f"array<{dict(other.dtypes)['_x']}>").alias("kept"))
+    from pyspark.sql import types as T
+
+    width = ttl_s * 1_000_000
 
-    def step(acc, x):
-        fresh = acc["last"].isNull() | (x["t"] - acc["last"] >= ttl_s * 1_000_000)
-        return F.struct(F.when(fresh, x["t"]).otherwise(acc["last"]).alias("last"), F.when(fresh, F.array_append(acc["kept"], x)).otherwise(acc["kept"]).alias("kept"))
+    def step(last, t):
+        fresh = last is None or t - last >= width
+        return (t if fresh else last), fresh
 
-    kept = folded.select("_k", F.explode(F.aggregate("_xs", start, step)["kept"]).alias("_x")).select("_k", F.col("_x.t").alias("_t"), F.col("_x.b").alias("_b"))
-    return df.join(kept, (df[key] == kept._k) & (_micros(df[ts]) == kept._t) & df[tiebreak].eqNullSafe(kept._b), "left_semi")
+    schema = T.StructType([*df.schema, T.StructField("_kept", T.BooleanType())])
+    return _fold(df.where(F.col(key).isNotNull() & F.col(ts).isNotNull()), key, ts, tiebreak, schema, step).where("_kept").drop("_kept")
 
 
 def rate_limit(df: DataFrame, key: str, ts: str, n: int = 100, window_s: float = 60.0, tiebreak: str = "event_id") -> DataFrame:
-    """`df` with accepted: fewer than n accepted rows of the key came in the window before it. Sequential within a key."""
+    """`df` with accepted: fewer than n accepted rows of the key came in the window before it. Rows without a time are not accepted.
+
+    Sequential within a key, with the times of at most n accepted rows as its state; see `_fold`.
+    """
     from collections import deque
 
     from pyspark.sql import types as T
 
-    schema = T.StructType([*[f for f in df.schema if f.name != "accepted"], T.StructField("accepted", T.BooleanType())])
     width = int(window_s * 1_000_000)
 
-    def run(pdf):
-        pdf = pdf.sort_values([ts, tiebreak], kind="stable")
-        taken: deque = deque()
-        out = []
-        for t in (pdf[ts].astype("datetime64[us]").astype("int64")).tolist():
-            while taken and t - taken[0] >= width:
-                taken.popleft()
-            out.append(len(taken) < n)
-            if out[-1]:
-                taken.append(t)
-        return pdf.assign(accepted=out)[schema.fieldNames()]
-
-    return df.groupBy(key).applyInPandas(run, schema)
+    def step(taken, t):
+        taken = deque() if taken is None else taken
+        if t is None:
+            return taken, False
+        while taken and t - taken[0] >= width:
+            taken.popleft()
+        accepted = len(taken) < n
+        if accepted:
+            taken.append(t)
+        return taken, accepted
+
+    df = df.drop("accepted")
+    return _fold(df, key, ts, tiebreak, T.StructType([*df.schema, T.StructField("accepted", T.BooleanType())]), step)

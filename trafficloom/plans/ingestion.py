@@ -127,9 +127,11 @@ _HOOK = f"""CASE k % 5
 @query(f"WITH {B.E} SELECT event_id, 'report' AS outcome, event_id::VARCHAR AS id, 'accident' AS incident_type, -6.8::DOUBLE AS lat, 39.2::DOUBLE AS lon, date_trunc('second', ts)::TIMESTAMP AS reported_at, 'whatsapp' AS source, 'a=b' AS description, (k % 8)::INTEGER AS severity FROM e WHERE k % 5 < 4 UNION ALL SELECT event_id, 'message cannot be read', NULL, NULL, NULL, NULL, NULL, NULL, NULL, -1 FROM e WHERE k % 5 = 4")
 def incident_extract(spark, sf_dir):
     e = B._events(spark, sf_dir)
-    good, dead = ingest.extract_incidents(e.select("event_id", F.expr(_HOOK).alias("value")), id_cols=["event_id"])
-    dead = dead.select("event_id", F.col("error_message").alias("outcome"))
-    return good.withColumn("outcome", F.lit("report")).unionByName(dead, allowMissingColumns=True).withColumn("severity", F.coalesce("severity", F.lit(-1)))
+    rows = ingest.read_incidents(e.select("event_id", F.expr(_HOOK).alias("value")))
+    found = F.col("report").isNotNull()
+    fields = F.when(found, F.struct(*ingest.report_columns(id_cols=["event_id"])))
+    out = rows.select("event_id", F.when(found, "report").otherwise(F.col("error")).alias("outcome"), fields.alias("r")).select("event_id", "outcome", "r.*")
+    return out.withColumn("severity", F.coalesce("severity", F.lit(-1)))
 
 
 @query(f"WITH {B.E} SELECT event_id, (k % 8)::VARCHAR AS severity, '-6.8' AS lat, 'a=b' AS description, 6 AS n_keys FROM e")

@@ -40,13 +40,14 @@ def neighbour_speeds_aligned(spark, sf_dir):
 
 
 @query(
-    f"""WITH {B.events_cte()}, {B.EDGES}, d AS (SELECT event_id, road_segment_id, event_time, avg_speed_kmh AS v FROM ev WHERE event_time < TIMESTAMP '2024-01-02'),
-up AS (SELECT a.id, d.v FROM edges a JOIN edges b ON b.to_node_id = a.from_node_id LEFT JOIN d ON d.road_segment_id = b.id), dn AS (SELECT a.id, d.v FROM edges a JOIN edges b ON b.from_node_id = a.to_node_id LEFT JOIN d ON d.road_segment_id = b.id)
-SELECT d.event_id, d.road_segment_id, round(up.v, 6) AS upstream_speed_kmh, round(dn.v, 6) AS downstream_speed_kmh FROM d LEFT JOIN up ON up.id = d.road_segment_id LEFT JOIN dn ON dn.id = d.road_segment_id"""
+    f"""WITH {B.events_cte()}, {B.EDGES}, seen AS (SELECT road_segment_id, count(*) AS n, count(avg_speed_kmh) AS m, sum(avg_speed_kmh) AS s FROM ev GROUP BY 1),
+up AS (SELECT a.id, sum(coalesce(n, 1)) AS n, sum(s) / nullif(sum(m), 0) AS v FROM edges a JOIN edges b ON b.to_node_id = a.from_node_id LEFT JOIN seen ON seen.road_segment_id = b.id GROUP BY 1),
+dn AS (SELECT a.id, sum(coalesce(n, 1)) AS n, sum(s) / nullif(sum(m), 0) AS v FROM edges a JOIN edges b ON b.from_node_id = a.to_node_id LEFT JOIN seen ON seen.road_segment_id = b.id GROUP BY 1)
+SELECT ev.event_id, ev.road_segment_id, (coalesce(up.n, 1) * coalesce(dn.n, 1))::BIGINT AS n_pairs, round(up.v, 6) AS upstream_speed_kmh, round(dn.v, 6) AS downstream_speed_kmh FROM ev LEFT JOIN up ON up.id = ev.road_segment_id LEFT JOIN dn ON dn.id = ev.road_segment_id"""
 )
 def neighbour_speeds_raw(spark, sf_dir):
-    e = B.traffic_events(spark, sf_dir).where(F.col("event_time") < F.lit("2024-01-02").cast("timestamp_ntz"))
-    return rounded(graph.neighbour_speeds(e.select("event_id", "road_segment_id", "event_time", "avg_speed_kmh"), B.road_edges(spark, sf_dir), "raw").drop("event_time", "avg_speed_kmh"))
+    e = B.traffic_events(spark, sf_dir).select("event_id", "road_segment_id", "avg_speed_kmh")
+    return rounded(graph.neighbour_summary(e, B.road_edges(spark, sf_dir)).select("event_id", "road_segment_id", "n_pairs", "upstream_speed_kmh", "downstream_speed_kmh"))
 
 
 def _boxes(spark, sf_dir):
@@ -66,7 +67,7 @@ def _points(spark, sf_dir):
 _POINTS = f"{B.E}, {B.EDGES}, pts AS (SELECT event_id, 39.1::DOUBLE + (event_id % 3001) * 0.0001::DOUBLE AS lon, -7.0::DOUBLE + ((user_id * 100 + k) % 4001) * 0.0001::DOUBLE AS lat FROM e)"
 
 
-@query(f"WITH {_POINTS} SELECT event_id, id AS road_segment_id FROM pts JOIN edges ON id < 300 AND lat >= least(ay, cy) - 0.0007::DOUBLE AND lat < greatest(ay, cy) + 0.0007::DOUBLE AND lon >= least(ax, cx) - 0.0007::DOUBLE AND lon < greatest(ax, cx) + 0.0007::DOUBLE")
+@query(f"WITH {_POINTS} SELECT event_id, id AS road_segment_id FROM pts JOIN edges ON lat >= least(ay, cy) - 0.0007::DOUBLE AND lat < greatest(ay, cy) + 0.0007::DOUBLE AND lon >= least(ax, cx) - 0.0007::DOUBLE AND lon < greatest(ax, cx) + 0.0007::DOUBLE")
 def within_buffer(spark, sf_dir):
     return spatial.spatial_within(_points(spark, sf_dir), _boxes(spark, sf_dir)).select("event_id", "road_segment_id")
 

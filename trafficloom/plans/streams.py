@@ -23,7 +23,11 @@ _own: dict[int, str] = {}
 
 
 def _scratch(spark: SparkSession) -> str:
-    shared = spark.conf.get("spark.checkpoint.dir", None) or _own.setdefault(0, tempfile.mkdtemp(prefix="spark-"))
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _own.get(0)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        shared = _own[0] = tempfile.mkdtemp(prefix="spark-")
     return f"{shared}/stream-{uuid.uuid4().hex}"
 
 
@@ -59,12 +63,17 @@ def _stateful(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)
 
 
-@query(f"WITH {B.events_cte(10)} SELECT road_segment_id, source_type, count(*) AS n_rows FROM (SELECT DISTINCT road_segment_id, source_type, time_bucket(INTERVAL '10 seconds', event_time) AS b FROM ev) GROUP BY 1, 2")
+@query(f"WITH {B.events_cte(10)} SELECT road_segment_id, source_type, time_bucket(INTERVAL '10 seconds', event_time) AS bucket, 1::BIGINT AS n_rows, true AS is_input_row FROM ev GROUP BY 1, 2, 3")
 def stream_dedup(spark, sf_dir):
+    """One row stays of each key and bucket, and it is one of the rows that came."""
     e = event_stream(spark, sf_dir)
-    rows = e.select((F.col("user_id") % 10).alias("road_segment_id"), _source().alias("source_type"), F.col("ts").alias("event_time"))
+    rows = e.select((F.col("user_id") % 10).alias("road_segment_id"), _source().alias("source_type"), F.col("ts").alias("event_time"), "event_id")
     out = run_to_end(silver.dedup_stream(rows), _scratch(spark))
-    return out.groupBy("road_segment_id", "source_type").agg(F.count("*").alias("n_rows"))
+    came = B.traffic_events(spark, sf_dir, 10).select("event_id", F.col("road_segment_id").alias("_seg"), F.col("source_type").alias("_src"), F.col("event_time").alias("_at"))
+    at = utc_ntz(F.col("event_time"))
+    own = (F.col("_seg") == F.col("road_segment_id")) & (F.col("_src") == F.col("source_type")) & (F.col("_at") == at)
+    kept = out.join(came, "event_id", "left").select("road_segment_id", "source_type", F.window(at, "10 seconds")["start"].alias("bucket"), F.coalesce(own, F.lit(False)).alias("own"))
+    return kept.groupBy("road_segment_id", "source_type", "bucket").agg(F.count("*").alias("n_rows"), F.bool_and("own").alias("is_input_row"))
 
 
 def _source():
@@ -102,12 +111,15 @@ def residential(spark, sf_dir):
     return stateful.flag_residential(rows).select("event_id", "residential")
 
 
-@query("SELECT event_type AS id, count(*) > 0 AS seen FROM events GROUP BY 1")
+@query(f"""WITH RECURSIVE {B.REPORTS}, o AS (SELECT id, reported_at, row_number() OVER (PARTITION BY id ORDER BY reported_at, event_id) AS rn FROM reports),
+f AS (SELECT id, rn, reported_at AS last, true AS kept FROM o WHERE rn = 1 UNION ALL SELECT o.id, o.rn, CASE WHEN o.reported_at >= f.last + INTERVAL 12 HOUR THEN o.reported_at ELSE f.last END, o.reported_at >= f.last + INTERVAL 12 HOUR FROM f JOIN o ON o.id = f.id AND o.rn = f.rn + 1)
+SELECT id, last AS reported_at FROM f WHERE kept""")
 def stream_first_report(spark, sf_dir):
+    """Which times of a report's id are kept: the first, and each first one 12 hours or more after the last that was kept."""
     _stateful(spark)
-    rows = event_stream(spark, sf_dir).select(F.col("event_type").alias("id"), F.col("ts").alias("reported_at"))
-    out = run_to_end(state.dedup_ttl_stream(rows, ttl_min=60 * 24 * 365), _scratch(spark), once=True)
-    return out.groupBy("id").agg((F.count("*") == 1).alias("seen"))
+    rows = event_stream(spark, sf_dir).select(F.col("user_id").cast("string").alias("id"), F.col("ts").alias("reported_at"))
+    out = run_to_end(state.dedup_ttl_stream(rows, ttl_min=12 * 60), _scratch(spark), once=True)
+    return out.select("id", utc_ntz(F.col("reported_at")).alias("reported_at"))
 
 
 @query(f"""WITH RECURSIVE {B.REPORTS}, o AS (SELECT id, event_id, reported_at, row_number() OVER (PARTITION BY id ORDER BY reported_at, event_id) AS rn FROM reports),

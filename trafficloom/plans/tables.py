@@ -105,7 +105,7 @@ def historical_speed(spark, sf_dir):
 
 @query(
     f"""WITH {B.silver_cte()}, hist AS (SELECT road_segment_id, avg(avg_speed_kmh) AS m FROM silver WHERE event_time >= TIMESTAMP '{B.AS_OF}' - INTERVAL 7 DAY GROUP BY 1),
-pred AS (SELECT o_custkey, o_orderdate, o_totalprice / 10000.0::DOUBLE AS v FROM orders WHERE o_custkey % 2 = 0 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)
+pred AS (SELECT o_custkey, o_orderdate, o_totalprice / 10000.0::DOUBLE AS v FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)
 SELECT e.id AS road_segment_id, p.o_orderdate AS predicted_at, round(CASE WHEN p.o_custkey IS NOT NULL THEN p.v ELSE h.m END, 6) AS predicted_speed_kmh, CASE WHEN p.o_custkey IS NOT NULL THEN 0.5::DOUBLE END AS confidence, CASE WHEN p.o_custkey IS NOT NULL THEN 'm1' ELSE 'historical_avg' END AS model
 FROM edges e LEFT JOIN pred p ON p.o_custkey = e.id LEFT JOIN hist h ON h.road_segment_id = e.id"""
 )
