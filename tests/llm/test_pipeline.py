@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 from trafficloom.llm import mixing
 
 from .test_linededup import brute as brute_lines
-from .test_simhash import brute_groups
+from .test_nearcopies import brute_groups
 from .test_toxicity import rows as labelled
 
 
@@ -30,7 +30,7 @@ def expected(docs, toxic):
     lines = brute_lines([(d[0], d[1]) for d in docs])
     docs = [(d[0], lines[d[0]][0] if d[1] is not None else None, d[2], d[3]) for d in docs]
     groups = brute_groups([(d[0], d[1]) for d in docs])
-    docs = [d for d in docs if groups[d[0]][1] == d[0]]
+    docs = [d for d in docs if groups[d[0]] == d[0]]
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR)")
     con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?)", docs)

@@ -24,11 +24,15 @@ def token_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def register_topic(text: Column, tokens: Column) -> Column:
-    """A topic from what a text is written in, for corpora without one: blank, a register of REGISTERS, or prose."""
+#: What no register counts.
+UNCOUNTED = r"[^|#$%&*!0-9]+"
+
+
+def register_topic(signs: Column, tokens: Column) -> Column:
+    """A topic from what a text is written in, for corpora without one: blank, a register of REGISTERS, or prose. signs: the text without UNCOUNTED."""
     topic = F.when(F.coalesce(tokens, F.lit(0)) == 0, "blank")
-    for name, signs, words in REGISTERS:
-        topic = topic.when(words * (F.length(text) - F.length(F.translate(text, signs, ""))) > tokens, name)
+    for name, own, words in REGISTERS:
+        topic = topic.when(words * (F.length(signs) - F.length(F.translate(signs, own, ""))) > tokens, name)
     return topic.otherwise("prose")
 
 
@@ -79,13 +83,12 @@ def rake(cells: DataFrame, temper: float = TEMPER, budget: float = 1.0, rounds:
     return fit.select(*[f"_{dim}" for dim in DIMENSIONS], "tokens", (F.col("weight") * F.lit(min(most, budget))).alias("weight"), F.lit(max(worst)).alias("residual"))
 
 
-def keys(docs: DataFrame, text: str, topic: Column | None) -> list[Column]:
-    tokens = token_count(F.col(text))
-    return [
-        *[F.coalesce(F.col(d).cast("string"), F.lit("")).alias(f"_{d}") for d in ("source", "lang")],
-        tokens.alias("_tokens"),
-        F.coalesce(topic, F.lit("")).alias("_topic") if topic is not None else register_topic(F.col(text), tokens).alias("_topic"),
-    ]
+def keyed(docs: DataFrame, own: list[str], text: str, topic: Column | None) -> DataFrame:
+    """The columns `own` of docs, then _source, _lang, _topic, _tokens. Each text is read once for its tokens and once for its signs."""
+    given = F.lit(None).cast("string") if topic is None else F.coalesce(topic, F.lit(""))
+    rows = docs.select(*own, *[F.coalesce(F.col(d).cast("string"), F.lit("")).alias(f"_{d}") for d in ("source", "lang")], token_count(F.col(text)).alias("_tokens"), given.alias("_given"), (F.regexp_replace(text, UNCOUNTED, "") if topic is None else F.lit("")).alias("_signs"))
+    found = F.col("_given") if topic is not None else register_topic(F.col("_signs"), F.col("_tokens"))
+    return rows.select(*own, "_source", "_lang", found.alias("_topic"), "_tokens")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", topic: Column | None = None, keep_text: bool = False, **options) -> DataFrame:
@@ -95,10 +98,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", topic: Colu
     for repeated ids. A null source, language or topic counts as "". Rows without tokens are kept if their cell has none.
     An empty table gives no rows. Columns of `docs` whose names begin as those added are replaced.
     """
-    added = {"_source", "_lang", "_topic", "_tokens", "probability", "residual", "kept"}
-    own = [F.col(c) for c in docs.columns if c not in added] if keep_text else [F.col(id_col)]
-    rows = docs.select(*own, *keys(docs, text, topic))
-    cells = materialize(_cells(rows if not keep_text else docs.select(*keys(docs, text, topic))))
+    added = {"_source", "_lang", "_topic", "_tokens", "_given", "_signs", "probability", "residual", "kept"}
+    rows = keyed(docs, [c for c in docs.columns if c not in added] if keep_text else [id_col], text, topic)
+    cells = materialize(_cells(keyed(docs, [], text, topic)))
     fit = rake(cells, **options).select(*[F.col(f"_{d}") for d in DIMENSIONS], F.round(F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(F.lit(1.0)), 6).alias("probability"), F.round("residual", 6).alias("residual"))
     draw = F.conv(F.substring(F.md5(F.concat(F.lit(SEED + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))), 1, 8), 16, 10).cast("double") / 4294967296.0
     return rows.join(materialize(fit), [f"_{d}" for d in DIMENSIONS]).withColumn("kept", draw < F.col("probability"))
