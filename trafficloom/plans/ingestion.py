@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from trafficloom.functions import text as X
@@ -46,6 +48,48 @@ def validate_fleet(spark, sf_dir):
     return rows.select("event_id", F.concat(F.lit("["), F.array_join("errors", ", "), F.lit("]")).alias("errors"))
 
 
+def _miss(c: str, j: int) -> str:
+    """The column, or null in every twelfth event."""
+    return f"CASE WHEN event_id % 12 <> {j} THEN {c} END"
+
+
+def _pick(*values: str) -> str:
+    """One of some texts, by k."""
+    return "CASE k % {} {} END".format(len(values), " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)))
+
+
+#: A row of each contract per event: its columns, as expressions that both engines read alike, and for the twin what breaks each rule.
+_CONTRACT_ROWS = {
+    "telecom": {"device_id_hash": _miss("'d'", 0), "tower_id": _miss("'t'", 1), "lat": _miss("1.0", 2), "lon": _miss("1.0", 3), "timestamp": _miss("ts", 4)},
+    "cctv": {"camera_id": _miss("'c'", 0), "frame_timestamp": _miss("ts", 1), "vehicle_count": _miss("k % 50 - 5", 2), "avg_speed_kmh": _miss("k % 50 - 10", 3), "lane_occupancy": _miss("(k % 50 - 4) / 40.0", 4), "queue_length_m": _miss("k % 50 - 3", 5)},
+    "fleet_gps": {"vehicle_id_hash": _miss("'v'", 0), "lat": _miss("1.0", 1), "lon": _miss("1.0", 2), "timestamp": _miss("ts", 3), "speed_kmh": _miss("k % 50 - 4", 4), "heading": _miss("(k % 50 - 2) * 8", 5)},
+    "incident": {"id": _miss("'i'", 0), "incident_type": _miss(_pick("accident", "roadblock", "construction", "flooding", "other", "riot"), 1), "lat": _miss("1.0", 2), "lon": _miss("1.0", 3), "reported_at": _miss("ts", 4), "severity": _miss("k % 7", 5)},
+    "weather": {"station_id": _miss("'s'", 0), "timestamp": _miss("ts", 1), "condition": _miss(_pick("clear", "rain", "heavy_rain", "fog", "snow"), 2), "rainfall_mm": _miss("k % 50 - 2", 3), "visibility_m": _miss("k % 50 - 6", 4)},
+    "prediction": {"congestion_prob": _miss("(k % 50 - 4) / 40.0", 0), "confidence": _miss("(k % 50 - 3) / 42.0", 1), "horizon_minutes": _miss("10 * (k % 5)", 2)},
+    "event": {"road_segment_id": _miss("user_id", 0), "event_time": _miss("ts", 1), "congestion_score": _miss("(k % 50 - 2) / 44.0", 2)},
+}
+_BROKEN = {
+    "vehicle_count": "vehicle_count IS NULL OR vehicle_count < 0", "avg_speed_kmh": "avg_speed_kmh < 0", "lane_occupancy": "lane_occupancy IS NULL OR lane_occupancy < 0 OR lane_occupancy > 1", "queue_length_m": "queue_length_m < 0",
+    "speed_kmh": "speed_kmh IS NULL OR speed_kmh < 0", "heading": "heading < 0 OR heading > 360", "incident_type": "incident_type IS NULL OR incident_type = 'riot'", "severity": "severity IS NULL OR severity < 1 OR severity > 5",
+    "condition": "condition IS NULL OR condition = 'snow'", "rainfall_mm": "rainfall_mm IS NULL OR rainfall_mm < 0", "visibility_m": "visibility_m IS NULL OR visibility_m < 0", "congestion_prob": "congestion_prob IS NULL OR congestion_prob < 0 OR congestion_prob > 1",
+    "confidence": "confidence < 0 OR confidence > 1", "horizon_minutes": "horizon_minutes IS NULL OR horizon_minutes < 10 OR horizon_minutes > 30", "congestion_score": "congestion_score IS NULL OR congestion_score < 0 OR congestion_score > 1",
+}
+
+
+def _contract_sql(contract: str, columns: dict[str, str]) -> str:
+    rows = ", ".join(f"{sql} AS {c}" for c, sql in columns.items())
+    errors = ", ".join(f"CASE WHEN {_BROKEN.get(c, f'{c} IS NULL')} THEN '{c}' END" for c in columns)
+    return f"SELECT event_id, '{contract}' AS contract, array_to_string(list_filter([{errors}], lambda x: x IS NOT NULL), ', ') AS errors FROM (SELECT event_id, {rows} FROM e)"
+
+
+@query(f"WITH {B.E} " + " UNION ALL ".join(_contract_sql(c, columns) for c, columns in _CONTRACT_ROWS.items()))
+def contract_rules(spark, sf_dir):
+    """Which rules of each contract a row of every event breaks; each rule is met by some rows and broken by others."""
+    e = B._events(spark, sf_dir)
+    checked = [normalize.validate(e.select("event_id", *[F.expr(sql).alias(c) for c, sql in columns.items()]), contract).select("event_id", F.lit(contract).alias("contract"), F.array_join("errors", ", ").alias("errors")) for contract, columns in _CONTRACT_ROWS.items()]
+    return reduce(lambda a, b: a.unionByName(b), checked)
+
+
 _BAD = "severity NOT BETWEEN 1 AND 5 OR incident_type NOT IN ('accident', 'roadblock', 'construction', 'flooding', 'other')"
 _MSG = "'invalid: ' || array_to_string(list_filter([CASE WHEN incident_type NOT IN ('accident', 'roadblock', 'construction', 'flooding', 'other') THEN 'incident_type' END, CASE WHEN severity NOT BETWEEN 1 AND 5 THEN 'severity' END], lambda x: x IS NOT NULL), ', ')"
 

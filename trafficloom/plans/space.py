@@ -50,7 +50,7 @@ def neighbour_speeds_raw(spark, sf_dir):
     return rounded(graph.neighbour_summary(e, B.road_edges(spark, sf_dir)).select("event_id", "road_segment_id", "n_pairs", "upstream_speed_kmh", "downstream_speed_kmh"))
 
 
-def _boxes(spark, sf_dir):
+def boxes(spark, sf_dir):
     """Every road's buffer as a box around its line."""
     g = F.col("geom")
     lon, lat = F.transform(g, lambda p: p["lon"]), F.transform(g, lambda p: p["lat"])
@@ -59,21 +59,28 @@ def _boxes(spark, sf_dir):
     return B.road_edges(spark, sf_dir).select(F.col("id").alias("road_segment_id"), F.array(point(x0, y0), point(x1, y0), point(x1, y1), point(x0, y1)).alias("buffer_geom"))
 
 
+def point_columns():
+    """lon and lat of an event."""
+    return (39.1 + (F.col("event_id") % 3001) * 0.0001).alias("lon"), (-7.0 + (F.col("user_id") * 100 + F.col("k")) % 4001 * 0.0001).alias("lat")
+
+
 def _points(spark, sf_dir):
-    e = B._events(spark, sf_dir)
-    return e.select("event_id", (39.1 + (F.col("event_id") % 3001) * 0.0001).alias("lon"), (-7.0 + (F.col("user_id") * 100 + F.col("k")) % 4001 * 0.0001).alias("lat"))
+    return B._events(spark, sf_dir).select("event_id", *point_columns())
+
+
+POINTS = f"{B.E}, {B.EDGES}, pts AS (SELECT event_id, 39.1::DOUBLE + (event_id % 3001) * 0.0001::DOUBLE AS lon, -7.0::DOUBLE + ((user_id * 100 + k) % 4001) * 0.0001::DOUBLE AS lat FROM e)"
 
 
-_POINTS = f"{B.E}, {B.EDGES}, pts AS (SELECT event_id, 39.1::DOUBLE + (event_id % 3001) * 0.0001::DOUBLE AS lon, -7.0::DOUBLE + ((user_id * 100 + k) % 4001) * 0.0001::DOUBLE AS lat FROM e)"
+IN_BOX = "lat >= least(ay, cy) - 0.0007::DOUBLE AND lat < greatest(ay, cy) + 0.0007::DOUBLE AND lon >= least(ax, cx) - 0.0007::DOUBLE AND lon < greatest(ax, cx) + 0.0007::DOUBLE"
 
 
-@query(f"WITH {_POINTS} SELECT event_id, id AS road_segment_id FROM pts JOIN edges ON lat >= least(ay, cy) - 0.0007::DOUBLE AND lat < greatest(ay, cy) + 0.0007::DOUBLE AND lon >= least(ax, cx) - 0.0007::DOUBLE AND lon < greatest(ax, cx) + 0.0007::DOUBLE")
+@query(f"WITH {POINTS} SELECT event_id, id AS road_segment_id FROM pts JOIN edges ON {IN_BOX}")
 def within_buffer(spark, sf_dir):
-    return spatial.spatial_within(_points(spark, sf_dir), _boxes(spark, sf_dir)).select("event_id", "road_segment_id")
+    return spatial.spatial_within(_points(spark, sf_dir), boxes(spark, sf_dir)).select("event_id", "road_segment_id")
 
 
 @query(
-    f"""WITH {_POINTS}, p AS (SELECT event_id, id, (ax - lon) * cos(radians(lat)) * {_K} AS x1, (ay - lat) * {_K} AS y1, (cx - lon) * cos(radians(lat)) * {_K} AS x2, (cy - lat) * {_K} AS y2 FROM pts JOIN edges ON abs(lat - ay) < 0.01 AND abs(lon - ax) < 0.02),
+    f"""WITH {POINTS}, p AS (SELECT event_id, id, (ax - lon) * cos(radians(lat)) * {_K} AS x1, (ay - lat) * {_K} AS y1, (cx - lon) * cos(radians(lat)) * {_K} AS x2, (cy - lat) * {_K} AS y2 FROM pts JOIN edges ON abs(lat - ay) < 0.01 AND abs(lon - ax) < 0.02),
 t AS (SELECT *, greatest(0, least(1, -(x1 * (x2 - x1) + y1 * (y2 - y1)) / nullif((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1), 0))) AS t FROM p)
 SELECT event_id, id AS road_segment_id, round(sqrt(pow(x1 + t * (x2 - x1), 2) + pow(y1 + t * (y2 - y1), 2)), 4) AS distance_m FROM t WHERE sqrt(pow(x1 + t * (x2 - x1), 2) + pow(y1 + t * (y2 - y1), 2)) <= 50"""
 )

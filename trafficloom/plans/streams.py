@@ -16,6 +16,7 @@ from trafficloom.streaming import silver, state
 
 from . import bindings as B
 from .common import registry, rounded
+from .space import IN_BOX, POINTS, boxes, point_columns
 
 QUERIES, ORACLES, query = registry()
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -89,6 +90,22 @@ def stream_silver(spark, sf_dir):
     return rounded(out.select("road_segment_id", utc_ntz(F.col("event_time")).alias("event_time"), "vehicle_count", "avg_speed_kmh", "flow_rate"))
 
 
+@query(f"""WITH {POINTS}, placed AS (SELECT DISTINCT id, event_type, time_bucket(INTERVAL '1 hour', ts) AS hour FROM pts JOIN e USING (event_id) JOIN edges ON {IN_BOX}),
+steps AS (SELECT *, (epoch(hour)::BIGINT // 3600 % 70) * 1.60934::DOUBLE AS speed FROM placed), last AS (SELECT max(ts) AS ts FROM pts JOIN e USING (event_id) JOIN edges ON {IN_BOX})
+SELECT id AS road_segment_id, time_bucket(INTERVAL '6 hours', hour) AS event_time, count(*) AS vehicle_count, round(avg(speed), 6) AS avg_speed_kmh, count(*) * 12.0::DOUBLE AS flow_rate FROM steps GROUP BY 1, 2
+HAVING time_bucket(INTERVAL '6 hours', hour) + INTERVAL 6 HOUR <= (SELECT ts FROM last) - INTERVAL 2 HOUR""")
+def stream_silver_chain(spark, sf_dir):
+    """The whole silver stream: points are normalised, placed on roads, counted once an hour and source, and summed up in windows that the watermark has passed.
+
+    Rows that repeat in an hour have one speed, so it does not matter which of them came first.
+    """
+    e = event_stream(spark, sf_dir).withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    speed = (F.floor(F.unix_seconds("ts") / 3600) % 70).cast("double").alias("speed_mph")
+    rows = e.select("event_id", _source().alias("source_type"), F.col("ts").alias("timestamp"), speed, F.lit(12.0).alias("flow"), *point_columns())
+    out = run_to_end(silver.silver_stream(rows, "fleet_gps", boxes(spark, sf_dir), duration="6 hours", bucket="1 hour", watermark="2 hours"), _scratch(spark))
+    return rounded(out.select("road_segment_id", utc_ntz(F.col("event_time")).alias("event_time"), "vehicle_count", "avg_speed_kmh", "flow_rate"))
+
+
 def _pings(spark, sf_dir):
     e = event_stream(spark, sf_dir).withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     return e.select("event_id", F.col("user_id").cast("string").alias("device_id_hash"), F.concat(F.lit("t"), F.floor(F.col("k") / 50)).alias("tower_id"), F.col("ts").alias("timestamp"))
@@ -148,3 +165,18 @@ def lake_dates(spark, sf_dir):
     root = f"{_scratch(spark)}/lake"
     sinks.replace_table(B.traffic_events(spark, sf_dir).withColumn("event_date", F.to_date("event_time")), root, ["event_date"])
     return read_lake(spark, root, "2024-01-05", "2024-01-09").groupBy(F.date_format("event_date", "yyyy-MM-dd").alias("event_date")).agg(F.count("*").alias("n_rows"))
+
+
+@query(f"""WITH {B.E}, days AS (SELECT ts::DATE AS day, count(*) AS n FROM e GROUP BY 1)
+SELECT event_id, user_id::VARCHAR AS vehicle_id_hash, k::DOUBLE AS speed_kmh, false AS corrupt FROM e WHERE day(ts) % 5 <> 0 UNION ALL SELECT -1, 'none', -1, true FROM days WHERE day(day) % 5 = 0""")
+def landed_json(spark, sf_dir):
+    """Bodies of a day's points, landed as files and read back: an array gives its rows, an object (every fifth day) is corrupt."""
+    from trafficloom.sources.readers import read_landing_json
+
+    e = B._events(spark, sf_dir).select(F.to_date("ts").alias("day"), F.struct("event_id", F.col("user_id").cast("string").alias("vehicle_id_hash"), F.col("k").cast("double").alias("speed_kmh")).alias("r"))
+    body = F.when(F.day("day") % 5 != 0, F.to_json(F.collect_list("r"))).otherwise(F.to_json(F.struct(F.count("*").alias("n"))))
+    root = f"{_scratch(spark)}/landing"
+    e.groupBy("day").agg(body.alias("value")).repartition("day").write.partitionBy("day").text(root)
+    rows = read_landing_json(spark, root, "event_id long, vehicle_id_hash string, speed_kmh double")
+    known = [F.coalesce("event_id", F.lit(-1)).alias("event_id"), F.coalesce("vehicle_id_hash", F.lit("none")).alias("vehicle_id_hash"), F.coalesce("speed_kmh", F.lit(-1.0)).alias("speed_kmh")]
+    return rows.select(*known, F.col("_corrupt").isNotNull().alias("corrupt"))
