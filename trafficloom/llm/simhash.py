@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from .common import WHITE, chunks, discard, documents, fold_ascii, materialize, word_spans
 from .components import connected_components
-from .nearcopies import near_copy_groups
+from .nearcopies import near_copy_names
 
 SHINGLE_WORDS = 3
 RADIUS = 2
@@ -95,12 +95,8 @@ def ball_links(prints: DataFrame, fp: str = "fp", radius: int = RADIUS) -> DataF
     return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius).select("a", "b").distinct()
 
 
-def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """(id_col, text_hash, fp, group, component_id): documents whose fingerprints are linked, chains included; component_id is the group's smallest id.
-
-    Equal fingerprints are one node, so copies never multiply. Null ids are rows of their own in a group but never name it
-    unless all its ids are null. An empty table gives no rows.
-    """
+def near_duplicate_names(docs: DataFrame, id_col: str = "doc_id", text: str = "text", radius: int = RADIUS) -> tuple[DataFrame, DataFrame]:
+    """The rows as (id_col, text_hash, fp), and (fp, group, component_id) with one row a distinct fingerprint: see near_duplicate_groups."""
     own = docs.select(id_col, F.col(text).alias("_t"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"))
     rows = materialize(fingerprints(own, "_t", "fp", keep_text=False))
     nodes = materialize(rows.groupBy("fp").agg(F.min(id_col).alias("lowest")))
@@ -110,6 +106,16 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "
     names = owner.groupBy("group").agg(F.min("lowest").alias("component_id"))
     named = materialize(owner.join(names, "group").select("fp", "group", "component_id"))
     discard(nodes, owner)
+    return rows, named
+
+
+def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
+    """(id_col, text_hash, fp, group, component_id): documents whose fingerprints are linked, chains included; component_id is the group's smallest id.
+
+    Equal fingerprints are one node, so copies never multiply. Null ids are rows of their own in a group but never name it
+    unless all its ids are null. An empty table gives no rows.
+    """
+    rows, named = near_duplicate_names(docs, id_col, text, radius)
     return rows.join(named, "fp").select(id_col, "text_hash", "fp", "group", "component_id")
 
 
@@ -128,16 +134,20 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", simila
     stays, of rows equal in both any one. A row with a null id stays only in a group without other ids.
     """
     if similar:
-        return keep_lowest(docs, near_copy_groups(docs, id_col, text), id_col, text)
-    return keep_lowest(docs, near_duplicate_groups(docs, id_col, text), id_col, text)
+        return keep_lowest(docs, *near_copy_names(docs, id_col, text), "text_hash", id_col, text)
+    return keep_lowest(docs, *near_duplicate_names(docs, id_col, text), "fp", id_col, text)
 
 
-def keep_lowest(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of `docs` for each group of `groups` (id_col, text_hash, group)."""
-    own = groups.select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"), "group")
-    each = own.groupBy("group", "_id", "_hash").agg(F.count("*").alias("_rows"))
-    first = F.min(F.struct(F.col("_id").isNull(), "_id", "_hash", "_rows"))
-    stay = materialize(each.groupBy("group").agg(first.alias("r")).select("r._id", "r._hash", "r._rows"))
+def keep_lowest(docs: DataFrame, rows: DataFrame, named: DataFrame, node: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of `docs` for each group of `named` (node, group); `rows` has id_col, text_hash and the node of each row.
+
+    The lowest row of each node is found before the groups are joined, so a node with many copies meets them as one row.
+    """
+    own = rows.select(F.col(node).alias("_node"), F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"))
+    each = own.groupBy("_node", "_id", "_hash").agg(F.count("*").alias("_rows"))
+    lowest = each.groupBy("_node").agg(F.min(F.struct(F.col("_id").isNull().alias("_none"), "_id", "_hash", "_rows")).alias("r"))
+    grouped = lowest.join(named.select(F.col(node).alias("_node"), "group"), "_node")
+    stay = materialize(grouped.groupBy("group").agg(F.min("r").alias("r")).select("r._id", "r._hash", "r._rows"))
     keyed = F.xxhash64(F.coalesce(docs[text], F.lit("")))
     # always a sort-merge join, at every size: what stays grows with the corpus
     kept = docs.join(stay.hint("merge"), docs[id_col].eqNullSafe(stay["_id"]) & (keyed == stay["_hash"]))
