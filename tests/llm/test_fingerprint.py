@@ -2,7 +2,7 @@ import hashlib
 
 from trafficloom.llm import fingerprint as fp
 
-from .util import corpus, frame
+from .util import corpus, frame, thue_morse
 
 
 def shingles(t):
@@ -47,3 +47,9 @@ def test_merge_and_estimates(spark):
     assert abs(fp.distinct_count(one) / 3996 - 1) < 0.3
     [m] = fp.merge_fingerprints(df.selectExpr("1 as k", "fingerprint"), "k").collect()
     assert np.array_equal(fp.decode(m.fingerprint), fp.merge([one, two]))
+
+
+def test_unlike_words_whose_polynomials_agree(spark):
+    rows = [(i, t) for i, t in enumerate(f"one two {w} four five" for k in (10, 11, 12) for w in thue_morse(k))]
+    got = fp.with_next(frame(spark, rows)).collect()
+    assert len({r.fingerprint for r in got}) == len(rows) and all(r.near_next == 0.0 for r in got)

@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 from trafficloom.llm import packing
 from trafficloom.llm.tokens import Encoder
 
-from .util import corpus, frame
+from .util import corpus, frame, thue_morse
 
 ODD = ["it's John's 'save they've I'll 'RE  x", "a  b   c\n\n d\t\te \n", "  lead", "tail  ", "٣٤ 12³ x²", "a  b", "<|endoftext|> a<|endoftext|>", "''s 's's don't", "日本語 テスト🙂🙂 ok", "'", "x'", " 's", "\n's 're\t've"]
 
@@ -37,6 +37,12 @@ def test_ids_equal_the_tokenizer(tokenizer):
     check(["".join(r.choice("ab's're tlvmd  \n\t.,!'9é 語") for _ in range(r.randint(0, 40))) for _ in range(3000)], tokenizer)
 
 
+def test_unlike_words_whose_polynomials_agree(tokenizer):
+    words = [w for k in (10, 11, 12) for w in thue_morse(k)]
+    check(words, tokenizer)
+    check([f"{a} {b} {a}" for a, b in zip(words, words[1:])], tokenizer)
+
+
 def test_plan_is_whole_and_tight():
     r = random.Random(2)
     for n in (1, 7, 400):

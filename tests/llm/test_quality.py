@@ -2,7 +2,7 @@ import re
 
 from trafficloom.llm import quality
 
-from .util import corpus, frame
+from .util import corpus, frame, thue_morse
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -52,3 +52,14 @@ def test_verdicts_and_text(spark):
     assert got[5].clean_text == rows()[5][1].split("\n")[0] and got[5].n_boilerplate_lines == 2
     assert got[1].n_navigation_lines == 3
     assert quality.line_quality(frame(spark, [])).count() == 0
+
+
+def test_unlike_words_and_lines_whose_polynomials_agree(spark):
+    texts = []
+    for k in (10, 11, 12):
+        a, b = thue_morse(k)
+        seven = "one two three four five six seven"
+        texts += [f"{seven} {a}\n{seven} {b}", f"{a}\n{b}\n{a}", f"{seven} {a} {seven} {a}"]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in quality.line_quality(frame(spark, rows)).collect()}
+    assert got == {i: brute(t) for i, t in rows}

@@ -5,7 +5,7 @@ from tokenizers import Tokenizer, models
 
 from trafficloom.llm import tokencount
 
-from .util import corpus, frame
+from .util import corpus, frame, thue_morse
 
 
 def unigram(pieces):
@@ -43,3 +43,11 @@ def test_ties_go_to_the_piece_that_starts_first():
 def test_empty(spark):
     assert tokencount.token_counts(frame(spark, [])).count() == 0
     assert [r.n_tokens for r in tokencount.token_counts(frame(spark, [(1, None), (1, "")])).collect()] == [0, 0]
+
+
+def test_unlike_words_whose_polynomials_agree(spark):
+    pieces = tokencount.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    want = unigram(pieces)
+    rows = [(10 * k + j, w + tail) for k in (10, 11, 12) for j, (w, tail) in enumerate((w, t) for t in ("", " b") for w in thue_morse(k))]
+    got = {r.doc_id: r.n_tokens for r in tokencount.token_counts(frame(spark, rows).coalesce(1)).collect()}
+    assert got == {i: len(want.encode("▁" + t.replace(" ", "▁"), add_special_tokens=False).ids) for i, t in rows}
