@@ -109,6 +109,15 @@ def test_locate_along_one_hot_route(spark):
     assert {g.event_id: round(g.lat, 9) for g in got.collect()} == want
 
 
+def test_edge_ids_follow_the_order_over_groups_of_blocks(spark):
+    r = random.Random(4)
+    raw = [(r.randrange(300), r.randrange(300), [k], ["n"], "residential", 1.0, None, [1]) for k in range(500)]
+    df = spark.createDataFrame(raw, "u long, v long, osmid array<long>, name array<string>, highway string, length double, maxspeed string, geom array<int>")
+    want = {x[2][0]: n for n, x in enumerate(sorted(raw, key=lambda x: (x[0], x[1], x[2])), 1)}
+    for block in (2, 7, 1 << 16):
+        assert {e.osm_id: e.id for e in spatial.prepare_edges(df, block).collect()} == want
+
+
 def test_neighbour_summary_is_the_raw_product_summed_up(spark):
     r = random.Random(1)
     edges = spark.createDataFrame([(i, i // 3, (i + 7) // 3) for i in range(1, 30)], "id long, from_node_id long, to_node_id long")

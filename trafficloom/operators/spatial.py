@@ -95,7 +95,8 @@ def prepare_edges(raw: DataFrame, block: int = 1 << 16) -> DataFrame:
     """Edge table from raw edges (u, v, osmid array<long>, name array<string>, highway, length, maxspeed, geom, others).
 
     ids are 1..n in the order of u, v and osm id. They are made of the rank in a block of nodes and the sizes of the
-    blocks before it, so no single task ranks all edges. Other columns with a value become metadata.
+    blocks before it, so no single task ranks all edges; those sizes are summed up in groups of `block` blocks, so one task
+    sees a row for each block ** 2 nodes. Other columns with a value become metadata.
     """
     known = {"u", "v", "osmid", "name", "highway", "length", "maxspeed", "geom"}
     others = [c for c in raw.columns if c not in known]
@@ -105,7 +106,10 @@ def prepare_edges(raw: DataFrame, block: int = 1 << 16) -> DataFrame:
         F.coalesce("highway", F.lit("residential")).alias("road_type"), F.coalesce("length", F.lit(0.0)).alias("length_m"), R.coerce_speed_limit(F.col("maxspeed")).alias("speed_limit_kmh"), "geom",
         (F.to_json(F.struct(*others)) if others else F.lit("{}")).alias("metadata"), F.floor(F.col("u") / block).alias("_block"),
     )
-    before = rows.groupBy("_block").agg(F.count("*").alias("_n")).select("_block", F.coalesce(F.sum("_n").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    sizes = rows.groupBy("_block").agg(F.count("*").alias("_n")).withColumn("_group", F.floor(F.col("_block") / block))
+    earlier = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    groups = sizes.groupBy("_group").agg(F.sum("_n").alias("_n")).select("_group", earlier(Window.orderBy("_group")).alias("_of_groups"))
+    before = sizes.withColumn("_of_blocks", earlier(Window.partitionBy("_group").orderBy("_block"))).join(groups, "_group").select("_block", (F.col("_of_groups") + F.col("_of_blocks")).alias("_before"))
     within = F.row_number().over(Window.partitionBy("_block").orderBy("from_node_id", "to_node_id", "osm_id", "metadata"))
     return rows.withColumn("_rank", within).join(before, "_block").select((F.col("_before") + F.col("_rank")).cast("long").alias("id"), *[c for c in rows.columns if c != "_block"])
 
