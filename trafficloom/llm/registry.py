@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprint, linededup, mixing, packing, quality, secrets, simhash, suffix, tokencount, toxicity
+from . import bpe, fingerprint, linededup, mixing, packing, periodic, quality, secrets, simhash, suffix, tokencount, toxicity
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_mixing": mixing.op9_mixing,
         "op10_secrets": secrets.op10_secrets,
+        "op11_periodic": periodic.op11_periodic,
         "op12_bpe": bpe.op12_bpe,
     }
 
