@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprint, linededup, mixing, packing, periodic, quality, secrets, simhash, suffix, tokencount, toxicity
+from . import bpe, fingerprint, linededup, mixing, packing, periodic, quality, secrets, simhash, suffix, tokencount, toxicity, whitening
 
 
 def queries() -> dict:
@@ -19,6 +19,7 @@ def queries() -> dict:
         "op10_secrets": secrets.op10_secrets,
         "op11_periodic": periodic.op11_periodic,
         "op12_bpe": bpe.op12_bpe,
+        "op13_whitening": whitening.op13_whitening,
     }
 
 
