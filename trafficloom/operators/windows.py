@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from trafficloom.functions import traffic as T
 
+from . import scan
+
 STEP = "5 minutes"
 SEGMENT = "road_segment_id"
 
@@ -42,6 +44,19 @@ def dwell_flag_rows(speed: Column, w, threshold: float = 5.0) -> Column:
     return F.coalesce(slow[0] & slow[1] & slow[2], F.lit(False))
 
 
+def running_state(events: DataFrame, count: str = "vehicle_count", speed: str = "avg_speed_kmh", threshold: float = 5.0, segment: str = SEGMENT, ts: str = "event_time", tiebreak: str = "event_id", rows: int = scan.ROWS) -> DataFrame:
+    """`events` with capacity (the greatest count of the segment so far, 1 at least) and dwell_flag (this and the two rows before are slow).
+
+    A segment with more than `rows` rows is cut into slices: the greatest count of the slices before is carried to each,
+    and the two rows before it.
+    """
+    cut = scan.with_neighbours(scan.cut(events, [segment], ts, rows), [segment], [ts, tiebreak], back=2)
+    cut = scan.with_carry(cut, [segment], {count: "_most"})
+    w = scan.slice_window([segment], [ts, tiebreak])
+    so_far = running_capacity(F.coalesce("_most", count), w.rowsBetween(Window.unboundedPreceding, 0))
+    return cut.withColumns({"capacity": so_far, "dwell_flag": dwell_flag_rows(F.col(speed), w, threshold)}).where("_own").select(*events.columns, "capacity", "dwell_flag")
+
+
 def segment_traffic_5min(events: DataFrame, edges: DataFrame, step: str = STEP, dwell_below: float = 5.0, tiebreak: str = "event_id") -> DataFrame:
     """Traffic per segment and window, with capacity so far, the window before, dwelling, score and level.
 
@@ -82,12 +97,15 @@ def segment_congestion_daily(silver: DataFrame, step_minutes: float = 5.0) -> Da
     )
 
 
-def trajectory_legs(fleet: DataFrame, vehicle: str = "vehicle_id_hash", ts: str = "timestamp", tiebreak: str = "event_id") -> DataFrame:
-    """Length, bearing and speed of the leg from each vehicle's point before; nulls at its first point or without time between."""
+def trajectory_legs(fleet: DataFrame, vehicle: str = "vehicle_id_hash", ts: str = "timestamp", tiebreak: str = "event_id", rows: int = scan.ROWS) -> DataFrame:
+    """Length, bearing and speed of the leg from each vehicle's point before; nulls at its first point or without time between.
+
+    A vehicle with more than `rows` points is cut into slices, each given the last point before it.
+    """
     from trafficloom.functions import geo as G
 
-    w = Window.partitionBy(vehicle).orderBy(ts, tiebreak)
-    legs = fleet.withColumn("_p", F.lag(F.struct("lat", "lon", ts)).over(w))
+    cut = scan.with_neighbours(scan.cut(fleet, [vehicle], ts, rows), [vehicle], [ts, tiebreak])
+    legs = cut.withColumn("_p", F.lag(F.struct("lat", "lon", ts)).over(scan.slice_window([vehicle], [ts, tiebreak]))).where("_own")
     seconds = (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col(f"_p.{ts}").cast("timestamp"))) / 1e6
     args = (F.col("_p.lat"), F.col("_p.lon"), F.col("lat"), F.col("lon"))
     return legs.select(*fleet.columns, G.haversine_m(*args).alias("leg_m"), G.bearing_deg(*args).alias("leg_bearing"), seconds.alias("leg_s")).withColumn("leg_kmh", F.when(F.col("leg_s") > 0, F.col("leg_m") / F.col("leg_s") * 3.6))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trafficloom.functions import traffic as T
@@ -47,8 +46,7 @@ def gold_daily_busy(spark, sf_dir):
 
 @query(f"WITH {B.events_cte(10)} SELECT event_id, road_segment_id, greatest(max(coalesce(vehicle_count, 0)) OVER (PARTITION BY road_segment_id ORDER BY event_time, event_id ROWS UNBOUNDED PRECEDING), 1)::INTEGER AS capacity, coalesce(avg_speed_kmh < 30 AND lag(avg_speed_kmh) OVER w < 30 AND lag(avg_speed_kmh, 2) OVER w < 30, false) AS dwell_flag FROM ev WINDOW w AS (PARTITION BY road_segment_id ORDER BY event_time, event_id)")
 def running_capacity_dwell(spark, sf_dir):
-    w = Window.partitionBy("road_segment_id").orderBy("event_time", "event_id")
-    return B.traffic_events(spark, sf_dir, 10).select("event_id", "road_segment_id", windows.running_capacity(F.col("vehicle_count"), w.rowsBetween(Window.unboundedPreceding, 0)).alias("capacity"), windows.dwell_flag_rows(F.col("avg_speed_kmh"), w, 30.0).alias("dwell_flag"))
+    return windows.running_state(B.traffic_events(spark, sf_dir, 10), threshold=30.0).select("event_id", "road_segment_id", "capacity", "dwell_flag")
 
 
 @query(f"WITH {B.events_cte(10)} SELECT road_segment_id, time_bucket(INTERVAL '30 seconds', event_time) AS event_time, count(*) AS vehicle_count, round(avg(avg_speed_kmh), 6) AS avg_speed_kmh, round(sum(flow_rate), 6) AS flow_rate FROM ev GROUP BY 1, 2")
