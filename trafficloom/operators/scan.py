@@ -32,8 +32,8 @@ def cut(df: DataFrame, keys: list[str], ts: str, rows: int = ROWS, unit_s: int =
     own, before = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("_unit").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumns({"_all": F.sum("_n").over(own), "_before": F.coalesce(F.sum("_n").over(before), F.lit(0))})
     names = [f"_key{i}" for i in range(len(keys))]
-    large = counts.where(F.col("_all") > rows).select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("_unit").alias("_at"), (F.floor(F.col("_before") / rows) + 1).alias("_slice"))
-    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)], F.col("_unit") == F.col("_at"))
+    large = counts.where(F.col("_all") > rows).select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("_unit").alias("_cut_at"), (F.floor(F.col("_before") / rows) + 1).alias("_slice"))
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)], F.col("_unit") == F.col("_cut_at"))
     return placed.join(large, on, "left").select(*df.columns, F.coalesce("_slice", F.lit(0)).cast("long").alias("_slice"))
 
 

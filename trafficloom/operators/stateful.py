@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import scan
+from .chains import dedup_ttl, rate_limit_chains  # noqa: F401
 
+#: A rate limit of more rows takes a pass over each busy key instead of a chain for each place.
+CHAINS = 8
 RESIDENT_AFTER = "15 minutes"
 
 
@@ -104,28 +107,15 @@ def _fold(df: DataFrame, key: str, ts: str, tiebreak: str, schema, step) -> Data
     return rows.mapInArrow(run, schema)
 
 
-def dedup_ttl(df: DataFrame, key: str = "id", ts: str = "reported_at", ttl_s: int = 1800, tiebreak: str = "event_id") -> DataFrame:
-    """Rows that do not come within the time to live of the last row kept of their key. Rows without a key or a time go.
-
-    The rule is sequential within a key; see `_fold`.
-    """
-    from pyspark.sql import types as T
-
-    width = ttl_s * 1_000_000
-
-    def step(last, t):
-        fresh = last is None or t - last >= width
-        return (t if fresh else last), fresh
-
-    schema = T.StructType([*df.schema, T.StructField("_kept", T.BooleanType())])
-    return _fold(df.where(F.col(key).isNotNull() & F.col(ts).isNotNull()), key, ts, tiebreak, schema, step).where("_kept").drop("_kept")
-
-
-def rate_limit(df: DataFrame, key: str, ts: str, n: int = 100, window_s: float = 60.0, tiebreak: str = "event_id") -> DataFrame:
+def rate_limit(df: DataFrame, key: str, ts: str, n: int = 100, window_s: float = 60.0, tiebreak: str = "event_id", rows: int = scan.ROWS) -> DataFrame:
     """`df` with accepted: fewer than n accepted rows of the key came in the window before it. Rows without a time are not accepted.
 
-    Sequential within a key, with the times of at most n accepted rows as its state; see `_fold`.
+    Up to CHAINS rows a window are found by chains of successors, without a sequential pass (see `chains`). For larger
+    limits that would be too many rounds: rows are folded in order, with the times of at most n accepted rows as the state.
     """
+    df = df.drop("accepted")
+    if n <= CHAINS:
+        return rate_limit_chains(df, key, ts, n, window_s, tiebreak, rows)
     from collections import deque
 
     from pyspark.sql import types as T
@@ -143,5 +133,4 @@ def rate_limit(df: DataFrame, key: str, ts: str, n: int = 100, window_s: float =
             taken.append(t)
         return taken, accepted
 
-    df = df.drop("accepted")
     return _fold(df, key, ts, tiebreak, T.StructType([*df.schema, T.StructField("accepted", T.BooleanType())]), step)

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficloom.functions.weather import utc_instant, utc_ntz
 from trafficloom.operators import stateful
 from trafficloom.operators.windows import segment_window_agg
-from trafficloom.sources import sinks
+from trafficloom.sources import scratch, sinks
 from trafficloom.streaming import silver, state
 
 from . import bindings as B
@@ -20,16 +17,10 @@ from .space import IN_BOX, POINTS, boxes, point_columns
 
 QUERIES, ORACLES, query = registry()
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_own: dict[int, str] = {}
 
 
 def _scratch(spark: SparkSession) -> str:
-    shared = spark.conf.get("spark.checkpoint.dir", None) or _own.get(0)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        shared = _own[0] = tempfile.mkdtemp(prefix="spark-")
-    return f"{shared}/stream-{uuid.uuid4().hex}"
+    return scratch.folder(spark, "stream")
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
