@@ -28,19 +28,18 @@ class WordBpe:
     ASCII white space; merging is done here.
     """
 
-    CACHE = 200_000
+    CACHE = 100_000
     REMEMBERED = 64  # bytes of the longest stretch, or characters of the longest word, that is remembered
-    PAIRS = 1_000_000
+    PAIRS = 200_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as f:
-            file = json.load(f)
+        file = _read(path)
         vocab, merges = file["model"]["vocab"], [m if isinstance(m, list) else m.split(" ") for m in file["model"]["merges"]]
         if file["model"].get("end_of_word_suffix") != END or file["decoder"] is not None:
             raise ValueError("a BPE file with word ends and without a decoder is asked for")
-        tokenizer = Tokenizer.from_file(path)
+        tokenizer = Tokenizer.from_str(json.dumps(file | {"model": file["model"] | {"vocab": {}, "merges": []}, "added_tokens": []}))  # its merges aren't used
         self._normal, self._pre = tokenizer.normalizer, tokenizer.pre_tokenizer
         written = {t: t if len(t) == 1 else _last(t[0]) for t in vocab if len(t) == 1 or len(t) == 1 + len(END) and t.endswith(END)}
         self._rank: dict[tuple[int, int], int] = {}
@@ -56,14 +55,9 @@ class WordBpe:
         self._id = {symbols: vocab[token] for token, symbols in written.items()}
         self._reach = max(map(len, self._id))
         self._alone: dict[int, bool] = {}
-        self._next_to: dict[tuple[int, int], bool] = {}
+        self._next_to: dict[int, bool] = {}
         self._special = {t["content"]: t["id"] for t in file["added_tokens"]}
         self._split = re.compile("(" + "|".join(map(re.escape, sorted(self._special, key=len, reverse=True))) + ")") if self._special else None
-        names = {**{i: t for t, i in vocab.items()}, **{i: t for t, i in self._special.items()}}
-        spelled = [names.get(i, "").encode() for i in range(max(names) + 1)]
-        self._size = np.array([len(x) + 1 for x in spelled], np.int64)
-        self._at = np.cumsum(self._size) - self._size
-        self._spelled = np.frombuffer(b" ".join(spelled) + b" ", np.uint8)
         self._words: dict[str, list[int]] = {}
         self._stretches: dict[bytes, bytes] = {}
 
@@ -102,11 +96,12 @@ class WordBpe:
 
     def _fit(self, a: int, b: int) -> bool:
         """Whether two tokens can follow each other in an encoding."""
-        known = self._next_to.get((a, b))
+        pair = a << 32 | b
+        known = self._next_to.get(pair)
         if known is None:
             if len(self._next_to) > self.PAIRS:
                 self._next_to.clear()
-            known = self._next_to[a, b] = not self._merges_across(a, b, float("inf"))
+            known = self._next_to[pair] = not self._merges_across(a, b, float("inf"))
         return known
 
     def encode_words(self, words: list[str]) -> dict[str, list[int]]:
@@ -182,8 +177,23 @@ class WordBpe:
         ids = pool[np.repeat(base[which] - (ends - many), many) + np.arange(ends[-1])]
         return ids, np.concatenate(([0], ends))[np.searchsorted(doc, np.arange(len(offsets)))]
 
+
+class Spellings:
+    """The tokens of a tokenizers file as its vocabulary writes them."""
+
+    #: Ids that one vectorised step takes; a longer single document is one step.
+    STEP = 1 << 18
+
+    def __init__(self, path: str):
+        file = _read(path)
+        names = {**{i: t for t, i in file["model"]["vocab"].items()}, **{t["id"]: t["content"] for t in file["added_tokens"]}}
+        spelled = [names.get(i, "").encode() for i in range(max(names) + 1)]
+        self._size = np.array([len(x) + 1 for x in spelled], np.int64)
+        self._at = np.cumsum(self._size) - self._size
+        self._spelled = np.frombuffer(b" ".join(spelled) + b" ", np.uint8)
+
     def decode(self, ids: np.ndarray, starts: np.ndarray) -> list[bytes]:
-        """The tokens of each document as they are written in the vocabulary, joined by spaces."""
+        """Each document's tokens joined by spaces. starts: where each document starts among the ids, and the end."""
         if not len(ids):
             return [b""] * (len(starts) - 1)
         size = self._size[ids]
@@ -193,11 +203,17 @@ class WordBpe:
         return [raw[a : max(a, b - 1)] for a, b in zip(edge[:-1], edge[1:])]
 
 
-_coders: dict[str, WordBpe] = {}
+def _read(path: str) -> dict:
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
+_made: dict[tuple[type, str], object] = {}
 
 
-def _coder(path: str) -> WordBpe:
-    return _coders.get(path) or _coders.setdefault(path, WordBpe(path))
+def _once(kind: type, path: str):
+    """The coder of a file, made once in a worker's life."""
+    return _made.get((kind, path)) or _made.setdefault((kind, path), kind(path))
 
 
 def _file(path: str | None) -> str:
@@ -217,7 +233,7 @@ def bpe_encode(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        coder = _coder(file)
+        coder = _once(WordBpe, file)
         for rows, data, offsets in chunks(batches, "_text"):
             ids, starts = coder.encode(data, offsets)
             raw, edge = ids.astype("<u4").tobytes(), (starts * 4).tolist()
@@ -236,13 +252,18 @@ def bpe_decode(encoded: DataFrame, ids: str = "ids", out: str = "decoded", path:
     schema = T.StructType([*[encoded.schema[c] for c in rest], T.StructField(out, T.StringType())])
 
     def run(batches):
-        coder = _coder(file)
-        for b in batches:
-            packed = b.column(rest.index(ids)).to_pylist()
-            edge = np.cumsum([0, *[len(x or b"") >> 2 for x in packed]])
-            text = coder.decode(np.frombuffer(b"".join(x or b"" for x in packed), "<u4"), edge)
-            text = pa.array([None if x is None else t for x, t in zip(packed, text)], pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([*b.columns, text], names=[*rest, out])
+        coder = _once(Spellings, file)
+        for whole in batches:
+            edge = np.cumsum([0, *[len(x or b"") >> 2 for x in whole.column(rest.index(ids)).to_pylist()]])
+            at = 0
+            while at < whole.num_rows:
+                to = max(at + 1, int(np.searchsorted(edge, edge[at] + coder.STEP, "right")) - 1)
+                b = whole.slice(at, to - at)
+                packed = b.column(rest.index(ids)).to_pylist()
+                text = coder.decode(np.frombuffer(b"".join(x or b"" for x in packed), "<u4"), edge[at : to + 1] - edge[at])
+                text = pa.array([None if x is None else t for x, t in zip(packed, text)], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([*b.columns, text], names=[*rest, out])
+                at = to
 
     return encoded.select(*rest).mapInArrow(run, schema)
 
