@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import ingestion, space, streams, tables
+from . import ingestion, space, streams, tables, writes
 
-MODULES = (tables, ingestion, space, streams)
+MODULES = (tables, ingestion, space, streams, writes)
 
 
 def queries() -> dict:
