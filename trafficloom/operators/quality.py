@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trafficloom import schemas as S
+from trafficloom.sources.scratch import Steps
 
 from .windows import segment_congestion_daily, segment_traffic_5min
 
@@ -52,7 +53,21 @@ def quality_report(silver: DataFrame, edges: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def with_limits(report: DataFrame, limits: dict[str, tuple[int | None, int | None]] | None = None) -> DataFrame:
+    """`report` with status: "error" or "warn" if more rows fail than the check's limits allow, else "pass".
+
+    limits: by check, the failures above which it warns and above which it is an error (None: never). A check without
+    limits is an error from its first failure.
+    """
+    warn, error = F.lit(0), F.lit(0)
+    for name, (low, high) in (limits or {}).items():
+        warn = F.when(F.col("check_name") == name, F.lit(low)).otherwise(warn)
+        error = F.when(F.col("check_name") == name, F.lit(high)).otherwise(error)
+    status = F.when(F.col("n_failed") > error, "error").when(F.col("n_failed") > warn, "warn").otherwise("pass")
+    return report.withColumn("status", status)
+
+
 def refresh(events: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(silver, gold, report): the models, then their checks."""
-    silver = segment_traffic_5min(events, edges)
+    """(silver, gold, report): the models, then their checks. The five-minute table is written once and read by the others; `operators.refresh` publishes tables."""
+    silver = Steps(events.sparkSession).write(segment_traffic_5min(events, edges))
     return silver, segment_congestion_daily(silver), quality_report(silver, edges)

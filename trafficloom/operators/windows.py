@@ -57,14 +57,9 @@ def running_state(events: DataFrame, count: str = "vehicle_count", speed: str =
     return cut.withColumns({"capacity": so_far, "dwell_flag": dwell_flag_rows(F.col(speed), w, threshold)}).where("_own").select(*events.columns, "capacity", "dwell_flag")
 
 
-def segment_traffic_5min(events: DataFrame, edges: DataFrame, step: str = STEP, dwell_below: float = 5.0, tiebreak: str = "event_id") -> DataFrame:
-    """Traffic per segment and window, with capacity so far, the window before, dwelling, score and level.
-
-    The aggregation comes first, so the windows over a segment see one row per step. Rows of equal time are told apart by
-    `tiebreak`. The aggregate and the windows over it shuffle by segment once more, as the aggregate's key is finer.
-    """
-    limits = edges.select(F.col("id").alias(SEGMENT), F.col("speed_limit_kmh").cast("double").alias("limit"))
-    sums = (
+def window_sums(events: DataFrame, step: str = STEP, tiebreak: str = "event_id") -> DataFrame:
+    """Per segment and window: counts, mean speed, flow and the last weather factor. Rows of equal time are told apart by `tiebreak`."""
+    return (
         events.groupBy(SEGMENT, F.window("event_time", step).alias("w"))
         .agg(
             F.sum(F.coalesce("vehicle_count", F.lit(0))).cast("long").alias("vehicle_count"),
@@ -72,12 +67,19 @@ def segment_traffic_5min(events: DataFrame, edges: DataFrame, step: str = STEP,
             F.sum(F.coalesce("flow_rate", F.lit(0.0))).alias("flow_rate"),
             F.max_by("weather_factor", F.struct("event_time", tiebreak)).alias("weather_factor"),
         )
-        # the limit depends on the segment alone: joined after the aggregation, to fewer rows
-        .join(limits, SEGMENT, "left")
-        .select(SEGMENT, F.col("w.start").alias("event_time"), F.col("w.end").alias("window_end"), "vehicle_count", "avg_speed_kmh", "flow_rate", "weather_factor", F.coalesce("limit", F.lit(50.0)).alias("free_flow"))
+        .select(SEGMENT, F.col("w.start").alias("event_time"), F.col("w.end").alias("window_end"), "vehicle_count", "avg_speed_kmh", "flow_rate", "weather_factor")
     )
+
+
+def traffic_features(sums: DataFrame, edges: DataFrame, dwell_below: float = 5.0) -> DataFrame:
+    """The rows of `window_sums` with capacity so far, the window before, dwelling, score and level.
+
+    The road's limit depends on the segment alone: it is joined to the sums, which are fewer rows than the events.
+    """
+    limits = edges.select(F.col("id").alias(SEGMENT), F.col("speed_limit_kmh").cast("double").alias("limit"))
+    rows = sums.join(limits, SEGMENT, "left").withColumn("free_flow", F.coalesce("limit", F.lit(50.0))).drop("limit")
     w = Window.partitionBy(SEGMENT).orderBy("event_time")
-    full = sums.select(
+    full = rows.select(
         "*",
         running_capacity(F.col("vehicle_count"), w).alias("capacity"),
         F.lag("avg_speed_kmh").over(w).alias("upstream_speed_kmh"),
@@ -86,6 +88,15 @@ def segment_traffic_5min(events: DataFrame, edges: DataFrame, step: str = STEP,
     return full.select(SEGMENT, "event_time", "window_end", "vehicle_count", "avg_speed_kmh", "flow_rate", "upstream_speed_kmh", "weather_factor", "dwell_flag", "congestion_score", T.congestion_level(F.col("congestion_score")).alias("congestion_level"))
 
 
+def segment_traffic_5min(events: DataFrame, edges: DataFrame, step: str = STEP, dwell_below: float = 5.0, tiebreak: str = "event_id") -> DataFrame:
+    """Traffic per segment and window, with capacity so far, the window before, dwelling, score and level.
+
+    The aggregation comes first, so the windows over a segment see one row per step, however many events it has. The
+    aggregate and the windows over it shuffle by segment once more, as the aggregate's key is finer.
+    """
+    return traffic_features(window_sums(events, step, tiebreak), edges, dwell_below)
+
+
 def segment_congestion_daily(silver: DataFrame, step_minutes: float = 5.0) -> DataFrame:
     """Per segment and day: greatest and mean score, congested hours, hour of the peak (of equal ones the first)."""
     score = F.round("congestion_score", 9)
