@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,12 @@ from pyspark.sql import functions as F
 from .common import WHITE, chunks, distinct_spans, documents, word_spans
 
 END = "</w>"
+#: What the given vocabulary file does before merging. Printable ASCII then has a shorter way with the same result.
+_NORMAL = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_ASCII = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: Bytes of text whose distinct words share a trie.
+CHUNK = 1 << 21
 #: Added to a word's last symbol, so that a symbol is one character whether it ends a word or not.
 _LAST = 0x100000
 
@@ -21,6 +28,26 @@ def _last(symbol: str) -> str:
     return chr(_LAST + ord(symbol))
 
 
+class Recent:
+    """What was put in or asked for lately: two tables, of which the older one goes when the newer one is full."""
+
+    def __init__(self):
+        self._new, self._old = {}, {}
+
+    def get(self, key, limit: int):
+        found = self._new.get(key)
+        if found is None:
+            found = self._old.get(key)
+            if found is not None:
+                self.put(key, found, limit)
+        return found
+
+    def put(self, key, value, limit: int) -> None:
+        if len(self._new) >= limit:
+            self._old, self._new = self._new, {}
+        self._new[key] = value
+
+
 class WordBpe:
     """Ids of texts under a tokenizers file of BPE merges with word ends; kept for a worker's life, its caches bounded.
 
@@ -28,7 +55,7 @@ class WordBpe:
     ASCII white space; merging is done here.
     """
 
-    CACHE = 100_000
+    CACHE = 150_000  # in each of two tables
     REMEMBERED = 64  # bytes of the longest stretch, or characters of the longest word, that is remembered
     PAIRS = 200_000
 
@@ -52,14 +79,21 @@ class WordBpe:
             if both in self._made or max(self._made.get(left, -1), self._made.get(right, -1)) >= rank:
                 raise ValueError("each token must come from one merge of tokens that are made before it")
             self._rank[left, right], self._parts[both], self._made[both] = rank, (left, right), rank
-        self._id = {symbols: vocab[token] for token, symbols in written.items()}
-        self._reach = max(map(len, self._id))
         self._alone: dict[int, bool] = {}
         self._next_to: dict[int, bool] = {}
+        # the trie of the tokens that stand alone: by symbol, the token that ends there (or -1) and the symbols after it
+        self._trie: dict[str, list] = {}
+        for token, symbols in written.items():
+            if self._stands(vocab[token]):
+                node = self._trie
+                for c in symbols[:-1]:
+                    node = node.setdefault(c, [-1, {}])[1]
+                node.setdefault(symbols[-1], [-1, {}])[0] = vocab[token]
         self._special = {t["content"]: t["id"] for t in file["added_tokens"]}
         self._split = re.compile("(" + "|".join(map(re.escape, sorted(self._special, key=len, reverse=True))) + ")") if self._special else None
-        self._words: dict[str, list[int]] = {}
-        self._stretches: dict[bytes, bytes] = {}
+        split = (file["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
+        self._usual = file["normalizer"] == _NORMAL and split.get("pattern") == {"Regex": _PATTERN} and split.get("invert") and split.get("behavior") == "Removed"
+        self._words, self._stretches = Recent(), Recent()  # ids as bytes
 
     def _edge(self, token: int, side: int) -> list[tuple[int, float]]:
         """The tokens that stand at a token's left (0) or right (1) end while it is being merged, each with the rank of the merge that takes it up."""
@@ -109,27 +143,38 @@ class WordBpe:
 
         A prefix's encoding is that of a shorter prefix and one token more: the only token that ends the prefix, stands
         alone and fits the last token of the shorter one. So a node of the words' trie has its last token and where that
-        begins as its state. Words in sorted order visit the trie depth first; the states of the path to the present
-        word are kept, those of a prefix that the next word shares are used again.
+        begins as its state, and which parts of the path to it may still grow to a token. Words in sorted order visit the
+        trie depth first; the states of the path to the present word are kept, those of a prefix that the next word
+        shares are used again.
         """
         out: dict[str, list[int]] = {}
-        find, reach, fit, stands = self._id.get, self._reach, self._fit, self._stands
-        token, start = [-1], [0]  # by depth
+        first, pairs, fit = self._trie, self._next_to, self._fit
+        token, start, growing = [-1], [0], [[]]  # by depth; growing: where a part begins, and what may follow it in a token
         path = ""
         for word, w in sorted((x[:-1] + _last(x[-1]), x) for x in words):
             shared, most = 0, min(len(path), len(word))
             while shared < most and path[shared] == word[shared]:
                 shared += 1
-            del token[shared + 1 :], start[shared + 1 :]
-            for depth in range(shared + 1, len(word) + 1):
-                for at in range(max(0, depth - reach), depth):
-                    t = find(word[at:depth])
-                    if t is not None and stands(t) and (at == 0 or fit(token[at], t)):
-                        token.append(t)
-                        start.append(at)
-                        break
-                else:
+            del token[shared + 1 :], start[shared + 1 :], growing[shared + 1 :]
+            for depth in range(shared, len(word)):
+                symbol, now, best = word[depth], [], -1
+                for at, after in (*growing[depth], (depth, first)):
+                    found = after.get(symbol)
+                    if found is not None:
+                        t, after = found
+                        if after:
+                            now.append((at, after))
+                        if best < 0 <= t:
+                            if at:
+                                fits = pairs.get(token[at] << 32 | t)
+                                if not (fit(token[at], t) if fits is None else fits):
+                                    continue
+                            best = t
+                            start.append(at)
+                if best < 0:
                     raise ValueError(f"no token for the end of {w!r}")
+                token.append(best)
+                growing.append(now)
             path, depth, ids = word, len(word), []
             while depth:
                 ids.append(token[depth])
@@ -143,6 +188,8 @@ class WordBpe:
         for k, part in enumerate(self._split.split(stretch) if self._split else [stretch]):
             if k % 2:
                 out.append(self._special[part])
+            elif self._usual and part.isascii() and part.isprintable():
+                out += _ASCII.findall(part.lower())
             elif part:
                 out += [w for w, _ in self._pre.pre_tokenize_str(self._normal.normalize_str(part))]
         return out
@@ -156,21 +203,23 @@ class WordBpe:
         to = np.cumsum(size)
         at = to - size
         sample, which = distinct_spans(solid, at, to)
-        raw, known = solid.tobytes(), self._stretches
-        if len(known) > self.CACHE:
-            known.clear()
-        if len(self._words) > self.CACHE:
-            self._words.clear()
-        found = [raw[a:b] for a, b in zip(at[sample].tolist(), to[sample].tolist())]
-        new = {x: self._pieces(x.decode()) for x in found if x not in known}
-        words = {w for pieces in new.values() for w in pieces if isinstance(w, str)}
-        have = {w: self._words[w] for w in words if w in self._words}
-        fresh = self.encode_words([w for w in words if w not in have])
-        self._words.update((w, ids) for w, ids in fresh.items() if len(w) <= self.REMEMBERED)
-        have.update(fresh)
-        encoded = {x: np.array([i for p in pieces for i in (have[p] if isinstance(p, str) else (p,))], np.uint32).tobytes() for x, pieces in new.items()}
-        found = [known[x] if x in known else encoded[x] for x in found]
-        known.update((x, ids) for x, ids in encoded.items() if len(x) <= self.REMEMBERED)
+        raw, recent, words, limit = solid.tobytes(), self._stretches, self._words, self.CACHE
+        found, new = [], {}
+        for k, (a, b) in enumerate(zip(at[sample].tolist(), to[sample].tolist())):
+            ids = recent.get(x := raw[a:b], limit)
+            found.append(ids)
+            if ids is None:
+                new[k] = (x, self._pieces(x.decode()))
+        asked = {w for _, pieces in new.values() for w in pieces if isinstance(w, str)}
+        have = {w: ids for w in asked if (ids := words.get(w, limit)) is not None}
+        for w, ids in self.encode_words([w for w in asked if w not in have]).items():
+            have[w] = array("I", ids).tobytes()
+            if len(w) <= self.REMEMBERED:
+                words.put(w, have[w], limit)
+        for k, (x, pieces) in new.items():
+            found[k] = b"".join(have[p] if isinstance(p, str) else array("I", (p,)).tobytes() for p in pieces)
+            if len(x) <= self.REMEMBERED:
+                recent.put(x, found[k], limit)
         length = np.array([len(x) >> 2 for x in found], np.int64)
         pool, base, many = np.frombuffer(b"".join(found), np.uint32), np.cumsum(length) - length, length[which]
         ends = np.cumsum(many)
@@ -234,7 +283,7 @@ def bpe_encode(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path
 
     def run(batches):
         coder = _once(WordBpe, file)
-        for rows, data, offsets in chunks(batches, "_text"):
+        for rows, data, offsets in chunks(batches, "_text", CHUNK):
             ids, starts = coder.encode(data, offsets)
             raw, edge = ids.astype("<u4").tobytes(), (starts * 4).tolist()
             packed = [raw[a:b] for a, b in zip(edge[:-1], edge[1:])]
