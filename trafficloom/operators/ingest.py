@@ -42,15 +42,22 @@ def pseudonymize(df: DataFrame, col: str, salt_date: Column, out: str | None = N
     return df.withColumn(out, digest).drop(*([col] if out != col else []))
 
 
+TELECOM_OUTCOMES = ("bbox", "invalid", "residential", "published")
+
+
+def telecom_judged(pings: DataFrame, salt_date: Column, bbox: tuple = S.BBOX) -> DataFrame:
+    """Pings with device_id_hash, and outcome: bbox or invalid, null for those that are still to be looked at for dwelling. Works on streams."""
+    inside = T.in_bbox(F.col("lat"), F.col("lon"), bbox)
+    bad = F.size(rule_errors("telecom")) > 0
+    return pseudonymize(pings, "device_id", salt_date).withColumn("outcome", F.when(~inside, "bbox").when(bad, "invalid"))
+
+
 def telecom_bronze(pings: DataFrame, salt_date: Column, bbox: tuple = S.BBOX, tiebreak: str = "event_id") -> DataFrame:
     """Pings (device_id, tower_id, lat, lon, timestamp) with device_id_hash and outcome: bbox, invalid, residential or published.
 
     The order is the reference's: outside points leave before contracts and dwelling are looked at.
     """
-    inside = T.in_bbox(F.col("lat"), F.col("lon"), bbox)
-    rows = pseudonymize(pings, "device_id", salt_date)
-    bad = F.size(rule_errors("telecom")) > 0
-    rows = rows.withColumn("outcome", F.when(~inside, "bbox").when(bad, "invalid"))
+    rows = telecom_judged(pings, salt_date, bbox)
     return flag_residential(rows, tiebreak=tiebreak, where=F.col("outcome").isNull()).withColumn("outcome", F.coalesce("outcome", F.when(F.col("residential"), "residential").otherwise("published"))).drop("residential")
 
 

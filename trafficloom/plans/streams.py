@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficloom.functions.weather import utc_instant, utc_ntz
-from trafficloom.operators import stateful
+from trafficloom.operators import ingest, stateful
 from trafficloom.operators.windows import segment_window_agg
 from trafficloom.sources import scratch, sinks
-from trafficloom.streaming import silver, state
+from trafficloom.streaming import counters, ordered, silver, state
 
 from . import bindings as B
+from . import ingestion
 from .common import registry, rounded
 from .space import IN_BOX, POINTS, boxes, point_columns
 
@@ -171,3 +172,74 @@ def landed_json(spark, sf_dir):
     rows = read_landing_json(spark, root, "event_id long, vehicle_id_hash string, speed_kmh double")
     known = [F.coalesce("event_id", F.lit(-1)).alias("event_id"), F.coalesce("vehicle_id_hash", F.lit("none")).alias("vehicle_id_hash"), F.coalesce("speed_kmh", F.lit(-1.0)).alias("speed_kmh")]
     return rows.select(*known, F.col("_corrupt").isNotNull().alias("corrupt"))
+
+
+def _in_files(spark: SparkSession, rows: DataFrame, ts: str, root: str, parts: int = 2) -> DataFrame:
+    """A stream of `rows` in so many files by time, a micro-batch each, and then a last row, far ahead, whose time lets the watermark pass all others."""
+    cuts = rows.stat.approxQuantile("_s", [k / parts for k in range(1, parts)], 0.01) if parts > 1 else []
+    edges = [None, *cuts, None]
+    for low, high in zip(edges, edges[1:]):
+        some = rows if low is None else rows.where(F.col("_s") > low)
+        (some if high is None else some.where(F.col("_s") <= high)).drop("_s").coalesce(1).write.mode("append").parquet(root)
+    last = rows.groupBy().agg(*[(F.max(c) + F.expr("INTERVAL 100 DAYS") if c == ts else F.max(c)).alias(c) for c in rows.columns])
+    last.drop("_s").withColumn("event_id", F.lit(-1).cast("long")).write.mode("append").parquet(root)
+    return spark.readStream.schema(rows.drop("_s").schema).option("maxFilesPerTrigger", 1).parquet(root)
+
+
+def _timed(df: DataFrame, ts: str) -> DataFrame:
+    return df.withColumn(ts, utc_instant(F.col(ts))).withColumn("_s", F.unix_seconds(ts).cast("double"))
+
+
+@query(ORACLES["stream_first_report"])
+def ordered_first_report(spark, sf_dir):
+    """The same rule in event-time order, over several micro-batches."""
+    _stateful(spark)
+    where = _scratch(spark)
+    rows = _timed(B.reports(spark, sf_dir).select("event_id", "id", "reported_at"), "reported_at")
+    stream = _in_files(spark, rows, "reported_at", f"{where}/in").withColumn("id", F.when(F.col("event_id") >= 0, F.col("id")).otherwise("beat"))
+    out = run_to_end(ordered.dedup_ttl_ordered(stream, ttl_min=12 * 60, bucket_s=86_400, delay="1 day", order=["event_id"]), where)
+    return out.where(F.col("id") != "beat").select("id", utc_ntz(F.col("reported_at")).alias("reported_at"))
+
+
+@query(ORACLES["stream_rate_limit"])
+def ordered_rate_limit(spark, sf_dir):
+    _stateful(spark)
+    where = _scratch(spark)
+    rows = _timed(B.reports(spark, sf_dir).select("event_id", "id", "reported_at"), "reported_at")
+    stream = _in_files(spark, rows, "reported_at", f"{where}/in").withColumn("id", F.when(F.col("event_id") >= 0, F.col("id")).otherwise("beat"))
+    out = run_to_end(ordered.rate_limit_ordered(stream, "id", "reported_at", 2, 86_400, bucket_s=86_400, delay="1 day", order=["event_id"]), where)
+    return out.where("event_id >= 0").select("event_id", "accepted")
+
+
+def _telecom_stream(spark, sf_dir, where: str) -> DataFrame:
+    """Pings with their outcomes, counted as they pass."""
+    rows = _timed(B.pings(spark, sf_dir), "timestamp")
+    stream = _in_files(spark, rows, "timestamp", f"{where}/in")
+    stream = stream.withColumns({"device_id": F.when(F.col("event_id") >= 0, F.col("device_id")).otherwise("beat"), "lat": F.when(F.col("event_id") >= 0, F.col("lat")).otherwise(-6.8), "lon": F.when(F.col("event_id") >= 0, F.col("lon")).otherwise(39.2)})
+    judged = ingest.telecom_judged(stream, F.lit(B.SALT_DATE).cast("date"))
+    dwelling = ordered.flag_residential_ordered(judged.where(F.col("outcome").isNull()), bucket_s=86_400, delay="1 day", order=["event_id"])
+    dwelling = dwelling.withColumn("outcome", F.when(F.col("residential"), "residential").otherwise("published")).drop("residential")
+    return counters.counted(judged.where(F.col("outcome").isNotNull()).unionByName(dwelling).where("event_id >= 0"), "telecom", ingest.TELECOM_OUTCOMES)
+
+
+@query(ingestion.ORACLES["ingest_counts"])
+def stream_ingest_counts(spark, sf_dir):
+    """Counts that a listener wrote for each micro-batch of a stream of pings, summed up."""
+    _stateful(spark)
+    where = _scratch(spark)
+    with counters.CounterLog(spark, f"{where}/counts"):
+        run_to_end(_telecom_stream(spark, sf_dir, where), where)
+    return counters.read_counters(spark, f"{where}/counts").groupBy("source", "outcome").agg(F.sum("n_rows").alias("n_rows"))
+
+
+@query(f"""WITH {B.events_cte(10)} SELECT road_segment_id, time_bucket(INTERVAL '6 hours', event_time) AS event_time, count(*) AS n_rows FROM ev GROUP BY 1, 2
+HAVING time_bucket(INTERVAL '6 hours', event_time) + INTERVAL 6 HOUR > (SELECT max(event_time) FROM ev) - INTERVAL 2 HOUR""")
+def stream_state_left(spark, sf_dir):
+    """The windows that a stream still holds when its input has ended: those that the watermark has not passed."""
+    _stateful(spark)
+    where = _scratch(spark)
+    e = event_stream(spark, sf_dir)
+    rows = e.select((F.col("user_id") % 10).alias("road_segment_id"), F.col("ts").alias("event_time")).withWatermark("event_time", "2 hours")
+    run_to_end(rows.groupBy("road_segment_id", F.window("event_time", "6 hours").alias("window")).agg(F.count("*").alias("n")).select("road_segment_id", "window.start", "n"), where)
+    left = counters.state_left(spark, f"{where}/ck")
+    return left.select("road_segment_id", utc_ntz(F.col("window.start")).alias("event_time"), F.col("value_count").alias("n_rows"))
