@@ -25,7 +25,9 @@ def test_encodes_and_decodes_as_the_library(spark):
     rows = [(i, t) for i, t in enumerate(texts())] + [(10_000 + i, t) for i, t in corpus()]
     rows += [(20_000 + i, w) for i, w in enumerate(thue_morse(12))]
     got = bpe.bpe_decode(bpe.bpe_encode(frame(spark, rows)))
-    assert got.columns == ["doc_id", "n_tokens", "ids", "decoded"]
+    both = bpe.bpe_encode(frame(spark, rows), decoded=True)
+    assert got.columns == both.columns == ["doc_id", "n_tokens", "ids", "decoded"]
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, both.collect()))
     got = {r.doc_id: r for r in got.collect()}
     for i, t in rows:
         ids = want.encode(t or "", add_special_tokens=False).ids

@@ -19,7 +19,7 @@ _NORMAL = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replac
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _ASCII = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 #: Bytes of text whose distinct words share a trie.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 #: Added to a word's last symbol, so that a symbol is one character whether it ends a word or not.
 _LAST = 0x100000
 
@@ -55,7 +55,7 @@ class WordBpe:
     ASCII white space; merging is done here.
     """
 
-    CACHE = 150_000  # in each of two tables
+    CACHE = 130_000  # in each of two tables
     REMEMBERED = 64  # bytes of the longest stretch, or characters of the longest word, that is remembered
     PAIRS = 200_000
 
@@ -231,7 +231,7 @@ class Spellings:
     """The tokens of a tokenizers file as its vocabulary writes them."""
 
     #: Ids that one vectorised step takes; a longer single document is one step.
-    STEP = 1 << 18
+    STEP = 1 << 17
 
     def __init__(self, path: str):
         file = _read(path)
@@ -271,25 +271,32 @@ def _file(path: str | None) -> str:
     return path or public_tokenizers.path("word_bpe_49k.json")
 
 
-def bpe_encode(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
+def bpe_encode(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: str | None = None, decoded: bool = False) -> DataFrame:
     """(id_col, n_tokens, ids), one row per row of `docs`, from whole texts; no shuffle. ids: little-endian 32-bit numbers, as `unpacked` lists them.
 
     Equal to the tokenizers library with the same file, without added special tokens, truncation and padding; the
-    strings of special tokens in a text are those tokens. Null, empty and blank texts have no ids. Rows of an id that is
-    repeated or null, and other columns of whatever name, do not matter.
+    strings of special tokens in a text are those tokens. decoded: with the column decoded, what `bpe_decode` makes of the
+    ids, in the same pass. Null, empty and blank texts have no ids. Rows of an id that is repeated or null, and other columns
+    of whatever name, do not matter.
     """
     file = _file(path)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        coder = _once(WordBpe, file)
+        coder, spelling = _once(WordBpe, file), _once(Spellings, file) if decoded else None
         for rows, data, offsets in chunks(batches, "_text", CHUNK):
             ids, starts = coder.encode(data, offsets)
             raw, edge = ids.astype("<u4").tobytes(), (starts * 4).tolist()
-            packed = [raw[a:b] for a, b in zip(edge[:-1], edge[1:])]
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(starts)), pa.array(packed, pa.binary())], names=[id_col, "n_tokens", "ids"])
+            columns = [rows.column(0), pa.array(np.diff(starts)), pa.array([raw[a:b] for a, b in zip(edge[:-1], edge[1:])], pa.binary())]
+            if spelling:
+                columns.append(_texts(spelling.decode(np.frombuffer(raw, "<u4"), starts)))
+            yield pa.RecordBatch.from_arrays(columns, names=[id_col, "n_tokens", "ids", "decoded"][: len(columns)])
 
-    return docs.select(id_col, F.col(text).alias("_text")).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids binary")
+    return docs.select(id_col, F.col(text).alias("_text")).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids binary" + ", decoded string" * decoded)
+
+
+def _texts(values: list[bytes | None]) -> pa.Array:
+    return pa.array(values, pa.binary()).cast(pa.string())
 
 
 def bpe_decode(encoded: DataFrame, ids: str = "ids", out: str = "decoded", path: str | None = None) -> DataFrame:
@@ -310,7 +317,7 @@ def bpe_decode(encoded: DataFrame, ids: str = "ids", out: str = "decoded", path:
                 b = whole.slice(at, to - at)
                 packed = b.column(rest.index(ids)).to_pylist()
                 text = coder.decode(np.frombuffer(b"".join(x or b"" for x in packed), "<u4"), edge[at : to + 1] - edge[at])
-                text = pa.array([None if x is None else t for x, t in zip(packed, text)], pa.binary()).cast(pa.string())
+                text = _texts([None if x is None else t for x, t in zip(packed, text)])
                 yield pa.RecordBatch.from_arrays([*b.columns, text], names=[*rest, out])
                 at = to
 
@@ -323,5 +330,5 @@ def unpacked(ids: bytes) -> list[int]:
 
 
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = bpe_decode(bpe_encode(documents(spark, sf_dir)))
+    rows = bpe_encode(documents(spark, sf_dir), decoded=True)
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
