@@ -81,12 +81,13 @@ def reached(nodes: DataFrame, keys: list[str], steps: Steps) -> DataFrame:
     Each round marks what the marked times point to and doubles the pointers: after k rounds the first 2^k times of every
     chain are marked. Each round's table is written, and the one before it deleted.
     """
-    at = steps.write(nodes.select(*keys, "_t", "_to", "_mark"))
-    while at.where(F.col("_mark") & F.col("_to").isNotNull()).limit(1).count():
+    at, more = steps.write_and_ask(nodes.select(*keys, "_t", "_to", "_mark"), F.col("_mark") & F.col("_to").isNotNull())
+    while more:
         there = at.select(*keys, F.col("_t").alias("_t2"), F.col("_to").alias("_to2"))
         hop = _joined(at, there, keys, _to="_t2").select(*keys, "_t", F.col("_to2").alias("_to"), "_mark")
         met = at.where("_mark").select(*keys, F.col("_to").alias("_t"), F.lit(True).alias("_met")).where(F.col("_t").isNotNull()).distinct()
-        at = steps.write(_joined(hop, met, [*keys, "_t"]).select(*keys, "_t", "_to", (F.col("_mark") | F.col("_met").isNotNull()).alias("_mark")))
+        marked = _joined(hop, met, [*keys, "_t"]).select(*keys, "_t", "_to", (F.col("_mark") | F.col("_met").isNotNull()).alias("_mark"))
+        at, more = steps.write_and_ask(marked, F.col("_mark") & F.col("_to").isNotNull())
         steps.forget(steps.last - 1)
     return at.select(*keys, "_t", "_mark")
 

@@ -20,23 +20,27 @@ def _covering(x0: Column, y0: Column, x1: Column, y1: Column, size: float) -> Co
     return F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.struct(x.alias("x"), y.alias("y")))))
 
 
-def _at_cells(points: DataFrame, roads: DataFrame, size: float) -> DataFrame:
-    """Pairs of a point and a road whose cells meet. A point has one cell and a road has each once, so no pair comes twice."""
+def _at_cells(points: DataFrame, roads: DataFrame, size: float, also: Column) -> DataFrame:
+    """Pairs of a point and a road whose cells meet and that meet `also`. A point has one cell and a road has each once, so no pair comes twice."""
     p = points.withColumn("_px", F.floor(F.col("lon") / size)).withColumn("_py", F.floor(F.col("lat") / size))
     r = roads.select(*[c for c in roads.columns if c != "_cells"], F.explode("_cells").alias("_c")).select("*", F.col("_c.x").alias("_rx"), F.col("_c.y").alias("_ry")).drop("_c")
-    return p.join(r, (F.col("_px") == F.col("_rx")) & (F.col("_py") == F.col("_ry"))).drop("_px", "_py", "_rx", "_ry")
+    return p.join(r, (F.col("_px") == F.col("_rx")) & (F.col("_py") == F.col("_ry")) & also).drop("_px", "_py", "_rx", "_ry")
 
 
 def spatial_within(points: DataFrame, roads: DataFrame, cell_deg: float = 0.01) -> DataFrame:
     """`points` (lon, lat, …) with road_segment_id for every road buffer (road_segment_id, buffer_geom) that holds them.
 
-    An equi-join on cells and then the exact test, never a nested loop. Points in no buffer go.
+    An equi-join on cells, then the buffer's box, in plain columns of the join, and last the exact test on the few pairs
+    that are left; never a nested loop. Points in no buffer go.
     """
     ring = F.col("buffer_geom")
     span = lambda f, c: f(F.transform(ring, lambda p: p[c]))
-    cells = _covering(span(F.array_min, "lon"), span(F.array_min, "lat"), span(F.array_max, "lon"), span(F.array_max, "lat"), cell_deg)
-    roads = roads.where(F.size("buffer_geom") >= 3).select("road_segment_id", "buffer_geom").withColumn("_cells", cells)
-    return _at_cells(points, roads, cell_deg).where(G.in_polygon(F.col("lon"), F.col("lat"), F.col("buffer_geom"))).drop("buffer_geom")
+    box = {"_x0": span(F.array_min, "lon"), "_y0": span(F.array_min, "lat"), "_x1": span(F.array_max, "lon"), "_y1": span(F.array_max, "lat")}
+    roads = roads.where(F.size("buffer_geom") >= 3).select("road_segment_id", "buffer_geom").withColumns(box)
+    roads = roads.withColumn("_cells", _covering(F.col("_x0"), F.col("_y0"), F.col("_x1"), F.col("_y1"), cell_deg))
+    inside = F.col("lon").between(F.col("_x0"), F.col("_x1")) & F.col("lat").between(F.col("_y0"), F.col("_y1"))
+    exact = F.when(inside, G.in_polygon(F.col("lon"), F.col("lat"), F.col("buffer_geom"))).otherwise(False)  # joins test conditions in any order
+    return _at_cells(points, roads, cell_deg, inside).where(exact).drop("buffer_geom", *box)
 
 
 def within_distance(points: DataFrame, edges: DataFrame, meters: float = BUFFER_M, cell_deg: float | None = None) -> DataFrame:
@@ -55,9 +59,14 @@ def within_distance(points: DataFrame, edges: DataFrame, meters: float = BUFFER_
     x0, x1 = F.least(a["lon"], b["lon"]) - lon_pad, F.greatest(a["lon"], b["lon"]) + lon_pad
     y0, y1 = F.least(a["lat"], b["lat"]) - lat_pad, F.greatest(a["lat"], b["lat"]) + lat_pad
     parts = edges.select(F.col("id").alias("road_segment_id"), F.explode(G.line_parts(F.col("geom"))).alias("_p"))
-    parts = parts.select("road_segment_id", "_p", F.explode(_covering(x0, y0, x1, y1, size)).alias("_c"))
-    middle = lambda c: (F.col(f"_c.{c}") + 0.5) * size
-    parts = parts.where(G.point_part_distance_m(middle("x"), middle("y"), F.col("_p")) <= reach)
+    # metres east at the latitude where they are fewest: distances come out no longer than they are, so no cell is missed
+    east = F.cos(F.radians(top)) * G.M_PER_DEG
+    parts = parts.select("road_segment_id", "_p", _covering(x0, y0, x1, y1, size).alias("_cs"), east.alias("_e"), a["lon"].alias("_lon"), a["lat"].alias("_lat"), ((b["lon"] - a["lon"]) * east).alias("_dx"), ((b["lat"] - a["lat"]) * G.M_PER_DEG).alias("_dy"))
+    parts = parts.withColumn("_len2", F.col("_dx") * F.col("_dx") + F.col("_dy") * F.col("_dy")).select("*", F.explode("_cs").alias("_c"))
+    px, py = ((F.col("_c.x") + 0.5) * size - F.col("_lon")) * F.col("_e"), ((F.col("_c.y") + 0.5) * size - F.col("_lat")) * G.M_PER_DEG
+    t = F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), (px * F.col("_dx") + py * F.col("_dy")) / F.nullif(F.col("_len2"), F.lit(0.0)))), F.lit(0.0))
+    off_x, off_y = px - t * F.col("_dx"), py - t * F.col("_dy")
+    parts = parts.where(off_x * off_x + off_y * off_y <= reach * reach)
     roads = parts.groupBy("road_segment_id", F.col("_c.x").alias("_rx"), F.col("_c.y").alias("_ry")).agg(F.collect_list("_p").alias("_parts"))
     first = F.element_at("_parts", 1)
     roads = roads.select("road_segment_id", "_rx", "_ry", *[first[e][c].alias(f"_{e}{c}") for e in "ab" for c in ("lon", "lat")], F.when(F.size("_parts") > 1, F.slice("_parts", 2, F.size("_parts"))).alias("_more"))

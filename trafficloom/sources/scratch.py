@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _own: dict[int, str] = {}
 
@@ -41,6 +42,12 @@ class Steps:
         df.write.parquet(f"{self._at}/{self._n}")
         return self._spark.read.schema(df.schema).parquet(f"{self._at}/{self._n}")
 
+    def write_and_ask(self, df: DataFrame, condition: Column) -> tuple[DataFrame, bool]:
+        """The written table, and whether any of its rows meets the condition, which the write itself finds out."""
+        seen = Observation()
+        out = self.write(df.observe(seen, F.count_if(condition).alias("n")))
+        return out, seen.get["n"] > 0
+
     def forget(self, *numbers: int) -> None:
         for k in numbers:
             delete(self._spark, f"{self._at}/{k}")
