@@ -19,7 +19,7 @@ _NORMAL = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replac
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _ASCII = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 #: Bytes of text whose distinct words share a trie.
-CHUNK = 1 << 20
+CHUNK = 1 << 21
 #: Added to a word's last symbol, so that a symbol is one character whether it ends a word or not.
 _LAST = 0x100000
 
@@ -55,7 +55,7 @@ class WordBpe:
     ASCII white space; merging is done here.
     """
 
-    CACHE = 130_000  # in each of two tables
+    CACHE = 200_000  # in each of two tables
     REMEMBERED = 64  # bytes of the longest stretch, or characters of the longest word, that is remembered
     PAIRS = 200_000
 
