@@ -42,8 +42,7 @@ def plain(data, n, width, null_keys):
     return out
 
 
-@pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("cut", [5, 1 << 40])
+@pytest.mark.parametrize("seed, cut", [(0, 5), (1, 1 << 40)])
 def test_dedup_ttl(spark, seed, cut):
     data = rows(seed)
     want = sorted(map(repr, [r for r, kept in plain(data, 1, 10, False) if kept]))
@@ -52,8 +51,7 @@ def test_dedup_ttl(spark, seed, cut):
     assert sorted(repr(tuple(r)) for r in got.collect()) == want
 
 
-@pytest.mark.parametrize("n", [1, 2, 3])
-@pytest.mark.parametrize("cut", [7, 1 << 40])
+@pytest.mark.parametrize("n, cut", [(2, 7), (3, 1 << 40)])
 def test_rate_limit(spark, n, cut):
     data = rows(10 + n, 400)
     want = sorted((repr(r), a) for r, a in plain(data, n, 10, True))

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from trafficloom.functions.weather import utc_instant, utc_ntz
 from trafficloom.operators import ingest, stateful
+from trafficloom.operators.normalize import deserialize
 from trafficloom.operators.windows import segment_window_agg
-from trafficloom.sources import scratch, sinks
+from trafficloom.sources import scratch, sinks, topics
 from trafficloom.streaming import counters, ordered, silver, state
 
 from . import bindings as B
@@ -243,3 +244,16 @@ def stream_state_left(spark, sf_dir):
     run_to_end(rows.groupBy("road_segment_id", F.window("event_time", "6 hours").alias("window")).agg(F.count("*").alias("n")).select("road_segment_id", "window.start", "n"), where)
     left = counters.state_left(spark, f"{where}/ck")
     return left.select("road_segment_id", utc_ntz(F.col("window.start")).alias("event_time"), F.col("value_count").alias("n_rows"))
+
+
+@query(f"WITH {B.PINGS} SELECT vehicle_id AS vehicle_id_hash, count(*) AS n_rows, round(max(speed_kmh), 6) AS top_speed_kmh, max(timestamp) AS last_seen FROM pings GROUP BY 1")
+def topic_stream(spark, sf_dir):
+    """Fleet points recorded as messages of a topic of four partitions, read as a stream and parsed; it is stopped after the first half and goes on from its offsets."""
+    where = _scratch(spark)
+    rows = B.pings(spark, sf_dir).select(F.lit("fleet_gps").alias("source_type"), "event_id", F.col("vehicle_id").alias("vehicle_id_hash"), "provider", "lat", "lon", "speed_kmh", "heading", utc_instant(F.col("timestamp")).alias("timestamp"))
+    for half in (0, 1):
+        topics.record_topics(sinks.to_kafka_rows(rows.where(F.col("event_id") % 2 == half), "source_type"), f"{where}/log", 4)
+        stream = deserialize(topics.read_topics(spark, f"{where}/log", ["traffic.raw.fleet"], streaming=True), "fleet_gps")
+        out = run_to_end(stream.where("parsed").select("vehicle_id_hash", "speed_kmh", "timestamp"), where)
+    seen = out.groupBy("vehicle_id_hash").agg(F.count("*").alias("n_rows"), F.max("speed_kmh").alias("top_speed_kmh"), F.max("timestamp").alias("last_seen"))
+    return rounded(seen.withColumn("last_seen", utc_ntz(F.col("last_seen"))))
