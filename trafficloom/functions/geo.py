@@ -75,6 +75,20 @@ def in_polygon(lon: Column, lat: Column, ring: Column) -> Column:
     return F.coalesce(F.when(n >= 3, hits % 2 == 1), F.lit(False))
 
 
+def ring_meets_box(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Whether a side of the ring comes into the box or touches it: their boxes meet and the side's line does not pass the box by on one side."""
+    n = F.size(ring)
+
+    def meets(i):
+        a, b = F.element_at(ring, i), F.element_at(ring, F.when(i == n, F.lit(1)).otherwise(i + 1))
+        near = (F.least(a["lon"], b["lon"]) <= x1) & (F.greatest(a["lon"], b["lon"]) >= x0) & (F.least(a["lat"], b["lat"]) <= y1) & (F.greatest(a["lat"], b["lat"]) >= y0)
+        side = lambda x, y: (b["lon"] - a["lon"]) * (y - a["lat"]) - (b["lat"] - a["lat"]) * (x - a["lon"])
+        at = [side(x, y) for x in (x0, x1) for y in (y0, y1)]
+        return near & (F.least(*at) <= 0) & (F.greatest(*at) >= 0)
+
+    return F.exists(F.sequence(F.lit(1), n), meets)
+
+
 # --- cells: a square lattice of longitude and latitude, named "resolution/x/y" ---------------------------------------------
 
 

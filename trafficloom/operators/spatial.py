@@ -2,57 +2,65 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trafficloom.functions import geo as G
 from trafficloom.functions import roads as R
 
+from .cells import MOST, Cells, adaptive
 from .serving import clip_range
 
 BUFFER_M = 50.0
+#: Columns of a leaf and of a share of it.
+CELL = ("_l", "_x", "_y", "_share")
 
 
-def _covering(x0: Column, y0: Column, x1: Column, y1: Column, size: float) -> Column:
-    """array<struct<x, y>> of the cells that a box touches."""
-    xs = F.sequence(F.floor(x0 / size), F.floor(x1 / size))
-    ys = F.sequence(F.floor(y0 / size), F.floor(y1 / size))
-    return F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.struct(x.alias("x"), y.alias("y")))))
-
-
-def _at_cells(points: DataFrame, roads: DataFrame, size: float, also: Column) -> DataFrame:
-    """Pairs of a point and a road whose cells meet and that meet `also`. A point has one cell and a road has each once, so no pair comes twice."""
-    p = points.withColumn("_px", F.floor(F.col("lon") / size)).withColumn("_py", F.floor(F.col("lat") / size))
-    r = roads.select(*[c for c in roads.columns if c != "_cells"], F.explode("_cells").alias("_c")).select("*", F.col("_c.x").alias("_rx"), F.col("_c.y").alias("_ry")).drop("_c")
-    return p.join(r, (F.col("_px") == F.col("_rx")) & (F.col("_py") == F.col("_ry")) & also).drop("_px", "_py", "_rx", "_ry")
+def _at_cells(points: DataFrame, roads: DataFrame, cells: Cells, also: Column | None = None) -> DataFrame:
+    """Pairs of a point and a road in one leaf that meet `also`. A point has one leaf and a road has each once, so no pair comes twice."""
+    p = cells.deal_points(points)
+    r = cells.shared(roads).withColumnsRenamed({c: f"_r{c}" for c in CELL})
+    same = [F.col(c) == F.col(f"_r{c}") for c in CELL]
+    return p.join(r, reduce(and_, same if also is None else [*same, also])).drop(*CELL, *[f"_r{c}" for c in CELL])
 
 
-def spatial_within(points: DataFrame, roads: DataFrame, cell_deg: float = 0.01) -> DataFrame:
+def spatial_within(points: DataFrame, roads: DataFrame, cell_deg: float = 0.005, levels: int = 3, most: int = MOST) -> DataFrame:
     """`points` (lon, lat, …) with road_segment_id for every road buffer (road_segment_id, buffer_geom) that holds them.
 
-    An equi-join on cells, then the buffer's box, in plain columns of the join, and last the exact test on the few pairs
-    that are left; never a nested loop. Points in no buffer go.
+    An equi-join on cells that adapt to the points, then the buffer's box, in plain columns of the join, and last the exact
+    test; never a nested loop. A cell that lies in the buffer as a whole needs no test: no side of the ring comes into it
+    and its middle is inside. Points in no buffer go.
     """
+    cells = adaptive(points, cell_deg, levels, most)
     ring = F.col("buffer_geom")
     span = lambda f, c: f(F.transform(ring, lambda p: p[c]))
     box = {"_x0": span(F.array_min, "lon"), "_y0": span(F.array_min, "lat"), "_x1": span(F.array_max, "lon"), "_y1": span(F.array_max, "lat")}
     roads = roads.where(F.size("buffer_geom") >= 3).select("road_segment_id", "buffer_geom").withColumns(box)
-    roads = roads.withColumn("_cells", _covering(F.col("_x0"), F.col("_y0"), F.col("_x1"), F.col("_y1"), cell_deg))
+    roads = cells.deal_boxes(roads, *[F.col(c) for c in box])
+    wide = cells.width()
+    left, low = F.col("_x") * wide, F.col("_y") * wide
+    pad = wide * 1e-6  # cells are cut by division, corners are products
+    holds = (F.col("_x1") - F.col("_x0") >= wide) & (F.col("_y1") - F.col("_y0") >= wide)
+    whole = F.when(holds, G.in_polygon(left + wide / 2, low + wide / 2, ring) & ~G.ring_meets_box(ring, left - pad, low - pad, left + wide + pad, low + wide + pad))
+    roads = roads.withColumn("buffer_geom", F.when(~F.coalesce(whole, F.lit(False)), ring))  # null: all of the cell is inside
     inside = F.col("lon").between(F.col("_x0"), F.col("_x1")) & F.col("lat").between(F.col("_y0"), F.col("_y1"))
-    exact = F.when(inside, G.in_polygon(F.col("lon"), F.col("lat"), F.col("buffer_geom"))).otherwise(False)  # joins test conditions in any order
-    return _at_cells(points, roads, cell_deg, inside).where(exact).drop("buffer_geom", *box)
+    exact = F.when(F.col("buffer_geom").isNull(), True).when(inside, G.in_polygon(F.col("lon"), F.col("lat"), F.col("buffer_geom"))).otherwise(False)  # joins test conditions in any order
+    return _at_cells(points, roads, cells, inside).where(exact).drop("buffer_geom", *box)
 
 
-def within_distance(points: DataFrame, edges: DataFrame, meters: float = BUFFER_M, cell_deg: float | None = None) -> DataFrame:
+def within_distance(points: DataFrame, edges: DataFrame, meters: float = BUFFER_M, cell_deg: float | None = None, levels: int = 2, most: int = MOST) -> DataFrame:
     """`points` with road_segment_id and distance_m for every edge (id, geom) no further than `meters`.
 
-    Cells are twice the distance wide (cell_deg: another width), and an edge is only in those that its line comes near to,
-    each with the parts that do. A cell's first part is in plain columns, so the common case is compiled; further parts of
-    the same edge in the same cell are in an array.
+    Cells adapt to the points and are four times the distance wide at most (cell_deg: another width); an edge is only in
+    those that its line comes near to, each with the parts that do. A cell's first part is in plain columns, so the common
+    case is compiled; further parts of the same edge in the same cell are in an array.
     """
-    size = cell_deg or 2 * meters / G.M_PER_DEG
+    cells = adaptive(points, cell_deg or 4 * meters / G.M_PER_DEG, levels, most)
     lat_pad = meters / G.M_PER_DEG
-    reach = 1.01 * (meters + size * G.M_PER_DEG / 2**0.5) + 1.0  # from a cell's middle to a line that is near any of its points
+    reach = 1.01 * (meters + F.col("_w") * G.M_PER_DEG / 2**0.5) + 1.0  # from a cell's middle to a line that is near any of its points
     a, b = F.col("_p.a"), F.col("_p.b")
     top = F.least(F.greatest(F.abs(a["lat"]), F.abs(b["lat"])) + lat_pad, F.lit(90.0))
     lon_pad = F.lit(lat_pad) / F.greatest(F.cos(F.radians(top)), F.lit(1e-6))
@@ -61,17 +69,17 @@ def within_distance(points: DataFrame, edges: DataFrame, meters: float = BUFFER_
     parts = edges.select(F.col("id").alias("road_segment_id"), F.explode(G.line_parts(F.col("geom"))).alias("_p"))
     # metres east at the latitude where they are fewest: distances come out no longer than they are, so no cell is missed
     east = F.cos(F.radians(top)) * G.M_PER_DEG
-    parts = parts.select("road_segment_id", "_p", _covering(x0, y0, x1, y1, size).alias("_cs"), east.alias("_e"), a["lon"].alias("_lon"), a["lat"].alias("_lat"), ((b["lon"] - a["lon"]) * east).alias("_dx"), ((b["lat"] - a["lat"]) * G.M_PER_DEG).alias("_dy"))
-    parts = parts.withColumn("_len2", F.col("_dx") * F.col("_dx") + F.col("_dy") * F.col("_dy")).select("*", F.explode("_cs").alias("_c"))
-    px, py = ((F.col("_c.x") + 0.5) * size - F.col("_lon")) * F.col("_e"), ((F.col("_c.y") + 0.5) * size - F.col("_lat")) * G.M_PER_DEG
+    parts = parts.select("road_segment_id", "_p", x0.alias("_x0"), y0.alias("_y0"), x1.alias("_x1"), y1.alias("_y1"), east.alias("_e"), a["lon"].alias("_lon"), a["lat"].alias("_lat"), ((b["lon"] - a["lon"]) * east).alias("_dx"), ((b["lat"] - a["lat"]) * G.M_PER_DEG).alias("_dy"))
+    parts = cells.deal_boxes(parts, *[F.col(c) for c in ("_x0", "_y0", "_x1", "_y1")])
+    parts = parts.withColumns({"_len2": F.col("_dx") * F.col("_dx") + F.col("_dy") * F.col("_dy"), "_w": cells.width()})
+    px, py = ((F.col("_x") + 0.5) * F.col("_w") - F.col("_lon")) * F.col("_e"), ((F.col("_y") + 0.5) * F.col("_w") - F.col("_lat")) * G.M_PER_DEG
     t = F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), (px * F.col("_dx") + py * F.col("_dy")) / F.nullif(F.col("_len2"), F.lit(0.0)))), F.lit(0.0))
     off_x, off_y = px - t * F.col("_dx"), py - t * F.col("_dy")
     parts = parts.where(off_x * off_x + off_y * off_y <= reach * reach)
-    roads = parts.groupBy("road_segment_id", F.col("_c.x").alias("_rx"), F.col("_c.y").alias("_ry")).agg(F.collect_list("_p").alias("_parts"))
+    roads = parts.groupBy("road_segment_id", "_l", "_x", "_y", "_shares").agg(F.collect_list("_p").alias("_parts"))
     first = F.element_at("_parts", 1)
-    roads = roads.select("road_segment_id", "_rx", "_ry", *[first[e][c].alias(f"_{e}{c}") for e in "ab" for c in ("lon", "lat")], F.when(F.size("_parts") > 1, F.slice("_parts", 2, F.size("_parts"))).alias("_more"))
-    p = points.withColumn("_px", F.floor(F.col("lon") / size)).withColumn("_py", F.floor(F.col("lat") / size))
-    near = p.join(roads, (F.col("_px") == F.col("_rx")) & (F.col("_py") == F.col("_ry")))
+    roads = roads.select("road_segment_id", "_l", "_x", "_y", "_shares", *[first[e][c].alias(f"_{e}{c}") for e in "ab" for c in ("lon", "lat")], F.when(F.size("_parts") > 1, F.slice("_parts", 2, F.size("_parts"))).alias("_more"))
+    near = _at_cells(points, roads, cells)
     own = F.struct(*[F.struct(F.col(f"_{e}lon").alias("lon"), F.col(f"_{e}lat").alias("lat")).alias(e) for e in "ab"])
     lon, lat = F.col("lon"), F.col("lat")
     more = F.when(F.col("_more").isNotNull(), F.array_min(F.transform("_more", lambda q: G.point_part_distance_m(lon, lat, q))))
