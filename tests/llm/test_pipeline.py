@@ -34,7 +34,7 @@ def expected(docs, toxic):
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR)")
     con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?)", docs)
-    kept = {i for i, keep in con.execute(f"SELECT doc_id, kept FROM ({mixing.oracle_sql()})").fetchall() if keep}
+    kept = {i for i, keep in con.execute(f"SELECT doc_id, kept FROM ({mixing.oracle_sql(**mixing.ONCE)})").fetchall() if keep}
     return [d for d in docs if d[0] in kept]
 
 
