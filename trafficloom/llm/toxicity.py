@@ -15,8 +15,6 @@ from .fingerprint import sketches
 
 #: The classifier is fitted on at most so many labelled rows of either class, those of the least hash.
 MAX_ROWS_PER_CLASS = 10_000
-#: At most so many features, those of the strongest evidence.
-MAX_FEATURES = 5_000
 #: Least log-odds ratio of a feature.
 MIN_WEIGHT = 2.5
 PREFIXES = (4, 5, 6)
@@ -242,7 +240,8 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray | None, id_col: st
     gain = 2 * (part(F.col("t").cast("double"), share) + part(F.col("c").cast("double"), 1 - share))
     odds = (F.col("t") + 0.5) / (rows.t + 1) / ((F.col("c") + 0.5) / (rows.c + 1))
     best = sums.where("f <> ''").select("f", gain.alias("gain"), F.log(odds).alias("w")).where((F.log(odds) >= MIN_WEIGHT) & (F.col("gain") >= 2 * math.log(n)))
-    known = {r.f: r.w for r in best.orderBy(F.desc("gain"), "f").limit(MAX_FEATURES).collect()}
+    # every sign that passes: they are signs of a sample of at most 2 * MAX_ROWS_PER_CLASS rows, whatever the corpus holds
+    known = {r.f: r.w for r in best.orderBy("f").collect()}
 
     def weigh(batches):
         reader = Reader(model, known)
