@@ -84,3 +84,20 @@ def test_distances_do_not_depend_on_the_cells(spark):
     for most in (5, 10_000):
         got = spatial.within_distance(p, edges, most=most).collect()
         assert sorted((r.event, r.road_segment_id, round(r.distance_m, 6)) for r in got) == want
+
+
+def test_a_stream_of_points_meets_the_roads_that_a_table_does(spark, tmp_path):
+    rows = crowd()
+    points(spark, rows).write.parquet(str(tmp_path / "in"))
+    ring = [(39.1995, -6.8005), (39.2065, -6.8005), (39.2065, -6.7935), (39.1995, -6.7935)]
+    wide = [(39.0, -7.0), (39.5, -7.0), (39.5, -6.5), (39.0, -6.5)]
+    roads = spark.createDataFrame([(1, ring), (2, wide)], "road_segment_id long, buffer_geom array<struct<lon: double, lat: double>>")
+    edges = spark.createDataFrame([(7, ring), (8, wide)], "id long, geom array<struct<lon: double, lat: double>>")
+    stream = spark.readStream.schema("id long, lon double, lat double").parquet(str(tmp_path / "in"))
+    for k, (meet, other) in enumerate([(spatial.spatial_within, roads), (spatial.within_distance, edges)]):
+        made = meet(stream, other) if k == 0 else meet(stream, other, 200.0)
+        out = str(tmp_path / f"out{k}")
+        made.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / f"ck{k}")).trigger(availableNow=True).start().awaitTermination()
+        table = meet(points(spark, rows), other, *([200.0] if k else []), most=40)
+        got, want = (sorted((r.id, r.road_segment_id) for r in t.collect()) for t in (spark.read.parquet(out), table))
+        assert got == want and len(want) > 100

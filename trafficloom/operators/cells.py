@@ -18,6 +18,8 @@ from trafficloom.sources import scratch
 MOST = 2_000
 #: There are at most so many crowded cells of a level: beyond, a leaf may hold this part of all points.
 CROWDED = 100_000
+#: Columns of the crowded cells.
+CROWD = "_bx long, _by long, _in array<struct<_l: int, _x: long, _y: long, _n: long>>"
 
 
 @dataclass(frozen=True)
@@ -90,9 +92,12 @@ class Cells:
 
 def adaptive(points: DataFrame, size: float, levels: int = 3, most: int = MOST, lon: str = "lon", lat: str = "lat") -> Cells:
     """The cells for `points`. They are counted by the last level's cells before anything is shuffled; the counts of the
-    levels above are sums of these. With no points, or few in every cell, no cell is crowded and all leaves are of level 0."""
+    levels above are sums of these. With no points, or few in every cell, no cell is crowded and all leaves are of level 0.
+    So they are for a stream, whose points cannot be counted before they come."""
     if not 0 <= levels <= 6:
         raise ValueError("levels must be 0 to 6")
+    if points.isStreaming:
+        return Cells(points.sparkSession.createDataFrame([], CROWD), size, levels, most)
     steps, seen = scratch.Steps(points.sparkSession), Observation()
     fine = size / 2**levels
     counts = points.groupBy(F.floor(F.col(lon) / fine).alias("_x"), F.floor(F.col(lat) / fine).alias("_y")).agg(F.count("*").alias("_n")).where("_x is not null and _y is not null")
