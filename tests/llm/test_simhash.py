@@ -3,7 +3,7 @@ import random
 import xxhash
 from pyspark.sql import functions as F
 
-from trafficloom.llm import simhash
+from trafficloom.llm import nearcopies, simhash
 from trafficloom.llm.components import connected_components
 
 from .util import corpus, frame
@@ -85,3 +85,30 @@ def test_repeated_and_null_ids(spark):
     rows = [(1, long[0]), (2, long[0]), (2, long[1]), (None, long[2]), (None, long[0]), (3, long[3]), (3, long[3])]
     kept = sorted((r.doc_id or 0, r.text) for r in simhash.keep_one(frame(spark, rows)).collect())
     assert kept == sorted([(1, long[0]), (2, long[1]), (0, long[2]), (3, long[3])])
+
+
+def plain_print(text, width):
+    words = text.lower().split()
+    hashes = [xxhash.xxh64_intdigest(" ".join(words[i : i + width]), 42) for i in range(max(1, len(words) - width + 1))]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_balls_join_near_copies_without_bands(spark, monkeypatch):
+    """Where no band speaks, the balls around the halves of the fingerprints alone bring near copies together, and the sets decide."""
+    r = random.Random(8)
+    rows, met = [], set()
+    for k in range(40):
+        words = [f"w{r.randrange(5000)}" for _ in range(250)]
+        other = list(words)
+        other[r.randrange(250)] = "edited"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+        d = plain_print(rows[-1][1], 5) ^ plain_print(rows[-2][1], 5)
+        if min((d & (1 << 32) - 1).bit_count(), (d >> 32).bit_count()) <= 2:
+            met.add(2 * k + 1)
+    rows.append((100, " ".join(["spam spam spam spam spam"] * 80 + [f"a{k}" for k in range(60)])))  # unlike sets, equal fingerprints
+    rows.append((101, " ".join(["spam spam spam spam spam"] * 80 + [f"b{k}" for k in range(60)])))
+    assert plain_print(rows[-1][1], 5) == plain_print(rows[-2][1], 5) and 10 < len(met) < 40
+    monkeypatch.setattr(nearcopies, "BANDS", 0)
+    monkeypatch.setattr(nearcopies, "_FACTORS", nearcopies._FACTORS[:0])
+    kept = simhash.keep_one(frame(spark, rows), similar=True)
+    assert sorted(x.doc_id for x in kept.collect()) == sorted(i for i, _ in rows if i not in met)

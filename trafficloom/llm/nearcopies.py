@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -140,8 +142,16 @@ def _in_blocks(members: DataFrame, sets: DataFrame) -> DataFrame:
     return materialize(dealt.groupBy("key", "i", "j").applyInArrow(compare, _LINK))
 
 
-def _links(nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """(node, component): the components of near copies.
+def _parted(members: DataFrame, joined: DataFrame) -> DataFrame:
+    """`members` (key, node, n) of the keys whose texts are not all in one component of `joined`, with their component c."""
+    own = members.join(joined, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("c"))
+    mixed = own.groupBy("key").agg(F.min("c").alias("_lo"), F.max("c").alias("_hi")).where("_lo < _hi").select("key")
+    return materialize(own.join(mixed, "key", "left_semi"))
+
+
+def _links(nodes: DataFrame, texts: DataFrame, width: int, pairs: DataFrame | None = None) -> DataFrame:
+    """(node, component): the components of near copies. Those of `pairs` (a, b) that are alike are joined first, and keys
+    whose texts these join are passed over.
 
     Texts that share a key are compared each with each if they are few. If they are many, each is compared with a leader:
     the text that shares its keys with most others (of a text and its edited copies, the text). Those that are near
@@ -154,29 +164,45 @@ def _links(nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     discard(wide, shared)
     # copies are one text before the shuffle, and the join reads that shuffle
     once = texts.groupBy("node").agg(F.first("_t").alias("_t"))
-    sets = materialize(shingle_sets(once.join(members.select("node").distinct().hint("merge"), "node", "left_semi"), width))
-    group = members.where(F.col("n") <= FEW).groupBy("key").agg(F.collect_list("node").alias("g"))
-    few = verified(group.select(F.explode("g").alias("a"), "g").select("a", F.explode("g").alias("b")).where("a < b"), sets)
+    named = members.select("node")
+    if pairs is not None:
+        named = named.unionByName(pairs.select(F.explode(F.array("a", "b")).alias("node")))
+    sets = materialize(shingle_sets(once.join(named.distinct().hint("merge"), "node", "left_semi"), width))
+    links = None
+    if pairs is not None:
+        links = verified(pairs, sets)
+        members, every = _parted(members, connected_components(links)), members
+        discard(every)
+    else:
+        members = members.withColumn("c", F.col("node"))
+    group = members.where(F.col("n") <= FEW).groupBy("key").agg(F.collect_list(F.struct("node", "c")).alias("g"))
+    few = group.select(F.explode("g").alias("x"), "g").select("x", F.explode("g").alias("y")).where("x.node < y.node and x.c <> y.c")
+    few = verified(few.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), sets)
     many = members.where(F.col("n") > FEW)
-    many = materialize(many.join(many.groupBy("node").agg(F.sum("n").alias("w")), "node").select("key", "node", "n", "w"))
-    leader = materialize(many.groupBy("key").agg(F.max_by("node", F.struct("w", "node")).alias("b")))
-    led = materialize(many.join(leader, "key").select("key", "n", F.col("node").alias("a"), "b"))
-    close = verified(led.where("a <> b"), sets)
-    judged = led.join(close.withColumn("_near", F.lit(True)), ["a", "b"], "left").select("key", F.col("a").alias("node"), "n", (F.col("_near").isNull() & (F.col("a") != F.col("b"))).alias("wanted"))
+    many = materialize(many.join(many.groupBy("node").agg(F.sum("n").alias("w")), "node").select("key", "node", "n", "c", "w"))
+    leader = materialize(many.groupBy("key").agg(F.max_by(F.struct("node", "c"), F.struct("w", "node")).alias("l")).select("key", F.col("l.node").alias("b"), F.col("l.c").alias("of")))
+    led = materialize(many.join(leader, "key").select("key", "n", F.col("node").alias("a"), "b", (F.col("c") == F.col("of")).alias("joined")))
+    close = verified(led.where(~F.col("joined")), sets)
+    judged = led.join(close.withColumn("_near", F.lit(True)), ["a", "b"], "left").select("key", F.col("a").alias("node"), "n", (F.col("_near").isNull() & ~F.col("joined")).alias("wanted"))
     judged = materialize(judged)
     crowded = judged.join(judged.where("wanted").select("key").distinct(), "key", "left_semi")
-    links = few.unionByName(close).unionByName(_in_blocks(crowded, sets))
+    found = few.unionByName(close).unionByName(_in_blocks(crowded, sets))
+    links = found if links is None else links.unionByName(found)
     component = connected_components(links)
     discard(members, sets, many, leader, led, judged)
     return component
 
 
-def near_copy_names(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = SHINGLE_WORDS) -> tuple[DataFrame, DataFrame]:
-    """The rows as (id_col, text_hash), and (text_hash, group, component_id) with one row a distinct text: see near_copy_groups."""
+def near_copy_names(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = SHINGLE_WORDS, first: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows as (id_col, text_hash), and (text_hash, group, component_id) with one row a distinct text: see near_copy_groups.
+
+    `first` finds pairs (a, b) in the texts (node, _t), a row for each document, that are checked and joined before the bands' are.
+    """
     own = docs.select(id_col, F.col(text).alias("_t"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"))
     rows = materialize(band_keys(own, "_t", width))
     nodes = materialize(rows.groupBy(F.col("text_hash").alias("node")).agg(F.min(id_col).alias("lowest"), F.first("keys").alias("keys")))
-    links = _links(nodes, own.select(F.col("text_hash").alias("node"), F.coalesce("_t", F.lit("")).alias("_t")), width)
+    texts = own.select(F.col("text_hash").alias("node"), F.coalesce("_t", F.lit("")).alias("_t"))
+    links = _links(nodes, texts, width, first(texts) if first else None)
     owner = materialize(nodes.select("node", "lowest").join(links, "node", "left").select("node", "lowest", F.coalesce("component", "node").alias("group")))
     names = owner.groupBy("group").agg(F.min("lowest").alias("component_id"))
     named = materialize(owner.join(names, "group").select(F.col("node").alias("text_hash"), "group", "component_id"))

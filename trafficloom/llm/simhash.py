@@ -18,6 +18,8 @@ from .nearcopies import near_copy_names
 SHINGLE_WORDS = 3
 RADIUS = 2
 SEED = 42
+#: Likeness of texts: whole fingerprints of 5-word shingles may differ in so many bits, beyond which no two texts at 0.8 are expected.
+NEAR_WORDS, REACH = 5, 20
 
 
 def _fingerprint_rows(data: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarray:
@@ -72,6 +74,16 @@ def fingerprints(docs: DataFrame, text: str = "text", out: str = "fingerprint",
     return docs.select(*read).mapInArrow(run, schema)
 
 
+def _balls(points: DataFrame, radius: int, bits: int = 64) -> DataFrame:
+    """(variant, b): all points within half the radius (rounded up) of each b, in its lowest `bits`."""
+    masks = [0]
+    for k in range(1, (radius + 1) // 2 + 1):
+        masks += [sum(1 << i for i in at) for at in combinations(range(bits), k)]
+    masks = [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
+    wide = points.select("b", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])).alias("m"))
+    return wide.select(F.col("b").bitwiseXOR(F.col("m")).alias("variant"), "b")
+
+
 def ball_links(prints: DataFrame, fp: str = "fp", radius: int = RADIUS) -> DataFrame:
     """Links (a, b) that join every two of the distinct fingerprints at `radius` or fewer differing bits, directly or by others in reach.
 
@@ -79,14 +91,7 @@ def ball_links(prints: DataFrame, fp: str = "fp", radius: int = RADIUS) -> DataF
     variant has at most as many prints as the ball has points (65 at radius 2) however large a group of copies is, so no
     group is unbounded. Neighbours in a variant's sorted group are linked and verified; that keeps each group connected.
     """
-    half = radius // 2 if radius % 2 == 0 else (radius + 1) // 2
-    masks = [0]
-    for k in range(1, half + 1):
-        masks += [sum(1 << b for b in bits) for bits in combinations(range(64), k)]
-    masks = [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
-    ball = F.array(*[F.lit(m).cast("long") for m in masks])
-    wide = prints.select(F.col(fp).alias("b")).where("b is not null").distinct().select("b", F.explode(ball).alias("m"))
-    wide = wide.select(F.col("b").bitwiseXOR(F.col("m")).alias("variant"), "b")
+    wide = _balls(prints.select(F.col(fp).alias("b")).where("b is not null").distinct(), radius)
     if radius % 2:  # members of a group may then lie one bit too far apart: compare all of the bounded group
         group = wide.groupBy("variant").agg(F.collect_set("b").alias("g")).where(F.size("g") > 1)
         pairs = group.select(F.explode("g").alias("a"), "g").select("a", F.explode("g").alias("b")).where("a < b")
@@ -95,6 +100,30 @@ def ball_links(prints: DataFrame, fp: str = "fp", radius: int = RADIUS) -> DataF
     return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius).select("a", "b").distinct()
 
 
+def near_pairs(texts: DataFrame, node: str = "node", text: str = "_t", width: int = NEAR_WORDS, reach: int = REACH) -> DataFrame:
+    """Pairs (a, b) of nodes that balls around the halves of their fingerprints bring together, written; for an exact check.
+
+    Two fingerprints that differ in 5 bits or fewer have a half that differs in 2 or fewer; so balls of radius 2, of 33
+    points each, around each distinct half of 32 bits meet in a variant (of two at more bits, some do). A variant has at
+    most 33 halves, but a half may have many nodes: each node is paired with the one that meets most others there, if the
+    whole fingerprints differ in `reach` bits or fewer, so pairs grow with the nodes and not with their squares.
+    """
+    rows = materialize(fingerprints(texts.select(node, text), text, "fp", width, keep_text=False).groupBy(F.col(node).alias("node")).agg(F.first("fp").alias("fp")))
+    low = F.col("fp").bitwiseAND(F.lit((1 << 32) - 1))
+    high = F.shiftrightunsigned("fp", 32).bitwiseOR(F.lit(1 << 32))  # bit 32 tells the halves apart
+    halves = rows.select("node", "fp", F.explode(F.array(low, high)).alias("b"))
+    points = materialize(halves.groupBy("b").agg(F.count("*").alias("n")))
+    met = _balls(points.select("b"), RADIUS, 32).withColumn("n", F.count("*").over(Window.partitionBy("variant"))).where("n > 1").select("variant", "b")
+    met = met.unionByName(points.where("n > 1").select(F.col("b").alias("variant"), "b")).distinct()
+    members = materialize(met.join(halves, "b").select("variant", "node", "fp"))
+    weight = members.groupBy("node").agg(F.count("*").alias("w"))
+    leader = members.join(weight, "node").groupBy("variant").agg(F.max_by(F.struct("node", "fp"), F.struct("w", "node")).alias("l"))
+    led = members.join(leader, "variant").where((F.col("node") != F.col("l.node")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("l.fp"))) <= reach))
+    pairs = materialize(led.select(F.least("node", "l.node").alias("a"), F.greatest("node", "l.node").alias("b")).distinct())
+    discard(rows, points, members)
+    return pairs
+
+
 def near_duplicate_names(docs: DataFrame, id_col: str = "doc_id", text: str = "text", radius: int = RADIUS) -> tuple[DataFrame, DataFrame]:
     """The rows as (id_col, text_hash, fp), and (fp, group, component_id) with one row a distinct fingerprint: see near_duplicate_groups."""
     own = docs.select(id_col, F.col(text).alias("_t"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"))
@@ -129,12 +158,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", simila
     """`docs` without the near-duplicates: of each group one row stays, the one with the smallest id.
 
     Groups are those of linked fingerprints or, with `similar`, of texts whose 5-word shingles have a likeness of 0.8 or
-    more: at that likeness 64-bit fingerprints differ in some 10 bits, beyond any ball that can be hashed, so there
-    MinHash bands find the candidates and the shingle sets decide. Of rows with one id the one of the least text hash
-    stays, of rows equal in both any one. A row with a null id stays only in a group without other ids.
+    more: there balls around the halves of fingerprints of such shingles bring texts together first, and the shingle sets
+    decide. At that likeness fingerprints differ in some 10 of 64 bits, so balls miss a part of the pairs: MinHash bands
+    then find those between texts that are not yet in one group, and the sets decide again. Of rows with one id the one of
+    the least text hash stays, of rows equal in both any one. A row with a null id stays only in a group without other ids.
     """
     if similar:
-        return keep_lowest(docs, *near_copy_names(docs, id_col, text), "text_hash", id_col, text)
+        return keep_lowest(docs, *near_copy_names(docs, id_col, text, NEAR_WORDS, near_pairs), "text_hash", id_col, text)
     return keep_lowest(docs, *near_duplicate_names(docs, id_col, text), "fp", id_col, text)
 
 
