@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
@@ -10,11 +11,14 @@ from pyspark.sql import functions as F
 
 from trafficloom.functions import geo as G
 from trafficloom.functions import roads as R
+from trafficloom.sources import scratch
 
 from .cells import MOST, Cells, adaptive
 from .serving import clip_range
 
 BUFFER_M = 50.0
+#: Ids of roads with one buffer that are in an array at most, or about so many.
+IDS = 4_096
 #: Columns of a leaf and of a share of it.
 CELL = ("_l", "_x", "_y", "_share")
 
@@ -27,28 +31,62 @@ def _at_cells(points: DataFrame, roads: DataFrame, cells: Cells, also: Column |
     return p.join(r, reduce(and_, same if also is None else [*same, also])).drop(*CELL, *[f"_r{c}" for c in CELL])
 
 
-def spatial_within(points: DataFrame, roads: DataFrame, cell_deg: float = 0.005, levels: int = 3, most: int = MOST) -> DataFrame:
-    """`points` (lon, lat, …) with road_segment_id for every road buffer (road_segment_id, buffer_geom) that holds them.
+def shared_buffers(roads: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame]:
+    """(shapes, members) of roads (road_segment_id, _rings: an array of buffers). A shape is what roads with equal buffers share.
+
+    shapes: _shape (128 bits of the rings), _rings, _blocks; members: _shape, _block, _ids, an array of some IDS road ids. A
+    road id of several rows is in as many arrays. Both go through `keep`, which may write them.
+    """
+    rows = roads.withColumn("_shape", F.md5(F.to_json("_rings")))
+    shapes = keep(rows.groupBy("_shape").agg(F.any_value("_rings").alias("_rings"), F.ceil(F.count("*") / F.lit(IDS)).cast("int").alias("_blocks")))
+    rows = rows.select("_shape", "road_segment_id").join(shapes.select("_shape", "_blocks"), "_shape")
+    ids = F.transform(F.collect_list(F.struct("road_segment_id")), lambda r: r["road_segment_id"])  # with those that are null
+    members = rows.groupBy("_shape", F.pmod(F.xxhash64("road_segment_id"), "_blocks").cast("int").alias("_block")).agg(ids.alias("_ids"))
+    return shapes, keep(members)
+
+
+def has_area(column: str = "buffer_geom") -> Column:
+    """Whether a buffer has corners enough to hold a point."""
+    return F.size(column) >= 3
+
 
-    An equi-join on cells that adapt to the points, then the buffer's box, in plain columns of the join, and last the exact
-    test; never a nested loop. A cell that lies in the buffer as a whole needs no test: no side of the ring comes into it
-    and its middle is inside. Points in no buffer go.
+def within_shapes(points: DataFrame, shapes: DataFrame, cell_deg: float = 0.005, levels: int = 3, most: int = MOST) -> DataFrame:
+    """`points` (lon, lat, …) with the other columns of `shapes` for each of their _rings that holds them.
+
+    An equi-join on cells that adapt to the points, then the ring's box, in plain columns of the join, and last the exact
+    test; never a nested loop. A cell that lies in the ring as a whole needs no test: no side of the ring comes into it
+    and its middle is inside.
     """
     cells = adaptive(points, cell_deg, levels, most)
-    ring = F.col("buffer_geom")
+    ring = F.col("_ring")
     span = lambda f, c: f(F.transform(ring, lambda p: p[c]))
     box = {"_x0": span(F.array_min, "lon"), "_y0": span(F.array_min, "lat"), "_x1": span(F.array_max, "lon"), "_y1": span(F.array_max, "lat")}
-    roads = roads.where(F.size("buffer_geom") >= 3).select("road_segment_id", "buffer_geom").withColumns(box)
+    roads = shapes.withColumn("_ring", F.explode("_rings")).drop("_rings").withColumns(box)
     roads = cells.deal_boxes(roads, *[F.col(c) for c in box])
     wide = cells.width()
     left, low = F.col("_x") * wide, F.col("_y") * wide
     pad = wide * 1e-6  # cells are cut by division, corners are products
     holds = (F.col("_x1") - F.col("_x0") >= wide) & (F.col("_y1") - F.col("_y0") >= wide)
     whole = F.when(holds, G.in_polygon(left + wide / 2, low + wide / 2, ring) & ~G.ring_meets_box(ring, left - pad, low - pad, left + wide + pad, low + wide + pad))
-    roads = roads.withColumn("buffer_geom", F.when(~F.coalesce(whole, F.lit(False)), ring))  # null: all of the cell is inside
+    roads = roads.withColumn("_ring", F.when(~F.coalesce(whole, F.lit(False)), ring))  # null: all of the cell is inside
     inside = F.col("lon").between(F.col("_x0"), F.col("_x1")) & F.col("lat").between(F.col("_y0"), F.col("_y1"))
-    exact = F.when(F.col("buffer_geom").isNull(), True).when(inside, G.in_polygon(F.col("lon"), F.col("lat"), F.col("buffer_geom"))).otherwise(False)  # joins test conditions in any order
-    return _at_cells(points, roads, cells, inside).where(exact).drop("buffer_geom", *box)
+    exact = F.when(ring.isNull(), True).when(inside, G.in_polygon(F.col("lon"), F.col("lat"), ring)).otherwise(False)  # joins test conditions in any order
+    return _at_cells(points, roads, cells, inside).where(exact).drop("_ring", *box)
+
+
+def spatial_within(points: DataFrame, roads: DataFrame, cell_deg: float = 0.005, levels: int = 3, most: int = MOST) -> DataFrame:
+    """`points` (lon, lat, …) with road_segment_id for every road buffer (road_segment_id, buffer_geom) that holds them.
+
+    Points meet each different buffer once (`within_shapes`); roads that share it are then unfolded from arrays of ids, so
+    a pair of a point and a road costs no comparison of its own. Points in no buffer go.
+    """
+    write = (lambda df: df) if points.isStreaming else scratch.Steps(points.sparkSession).write
+    shapes, members = shared_buffers(roads.where(has_area()).select("road_segment_id", F.array("buffer_geom").alias("_rings")), write)
+    placed = within_shapes(points, shapes.select("_shape", "_rings", "_blocks"), cell_deg, levels, most)
+    placed = placed.withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    # few rows that many are made of: dealt out by their number, as their size says little
+    placed = placed.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return placed.join(members, ["_shape", "_block"]).select(*points.columns, F.explode("_ids").alias("road_segment_id"))
 
 
 def within_distance(points: DataFrame, edges: DataFrame, meters: float = BUFFER_M, cell_deg: float | None = None, levels: int = 2, most: int = MOST) -> DataFrame:

@@ -25,12 +25,13 @@ def latest_within(df: DataFrame, key: list[str], ts: str, as_of: Column, max_age
     return latest_per_key(fresh, key, [ts, *[c for c in df.columns if c not in (*key, ts)]])
 
 
-def segment_window_agg(df: DataFrame, duration: str = "30 seconds", ts: str = "event_time", speed: str = "speed_kmh", flow: str = "flow") -> DataFrame:
-    """Per segment and tumbling window: rows, mean speed, summed flow. Works on streams that have a watermark on ts."""
+def segment_window_agg(df: DataFrame, duration: str = "30 seconds", ts: str = "event_time", speed: str = "speed_kmh", flow: str = "flow", by: str = SEGMENT) -> DataFrame:
+    """Per segment (or `by`) and tumbling window: rows, mean speed, summed flow. Works on streams that have a watermark on ts."""
     flows = F.col(flow) if flow in df.columns else F.lit(1.0)
-    return df.groupBy(F.col(SEGMENT).cast("long").alias(SEGMENT), F.window(ts, duration).alias("w")).agg(
+    key = F.col(SEGMENT).cast("long").alias(SEGMENT) if by == SEGMENT else F.col(by)
+    return df.groupBy(key, F.window(ts, duration).alias("w")).agg(
         F.count("*").alias("vehicle_count"), F.avg(speed).alias("avg_speed_kmh"), F.sum(flows.cast("double")).alias("flow_rate")
-    ).select(SEGMENT, F.col("w.start").alias("event_time"), "vehicle_count", "avg_speed_kmh", "flow_rate")
+    ).select(by, F.col("w.start").alias("event_time"), "vehicle_count", "avg_speed_kmh", "flow_rate")
 
 
 def running_capacity(count: Column, w) -> Column:

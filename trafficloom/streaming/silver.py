@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from trafficloom.operators import spatial
 from trafficloom.operators.normalize import normalize
-from trafficloom.operators.spatial import spatial_within
 from trafficloom.operators.windows import segment_window_agg
 from trafficloom.sources import sinks
 
@@ -23,10 +23,18 @@ def dedup_stream(df: DataFrame, keys: list[str] | None = None, ts: str = "event_
 
 
 def silver_stream(df: DataFrame, source_type: str, roads: DataFrame, lookup: DataFrame | None = None, duration: str = "30 seconds", speed: str = "speed_kmh", flow: str = "flow", bucket: str = "10 seconds", watermark: str = "30 seconds") -> DataFrame:
-    """Raw points to windows per segment; works on streams and, without the watermark's effect, on tables."""
+    """Raw points to windows per segment; works on streams and, without the watermark's effect, on tables.
+
+    Roads with equal buffers see the same points, so repeats and sums are kept once for the buffer, and its windows are
+    unfolded to the roads that have it as they close. Several rows of a road are one road with all their buffers.
+    """
     points = normalize(df, source_type, lookup).where(F.col("event_time").isNotNull())
-    placed = spatial_within(points, roads)
-    return segment_window_agg(dedup_stream(placed, bucket=bucket, watermark=watermark), duration, speed=speed, flow=flow)
+    whole = roads.where(spatial.has_area()).groupBy(F.col("road_segment_id").cast("long").alias("road_segment_id"))
+    shapes, members = spatial.shared_buffers(whole.agg(F.array_sort(F.collect_set("buffer_geom")).alias("_rings")))
+    placed = spatial.within_shapes(points, shapes.select("_shape", "_rings"))
+    once = dedup_stream(placed, ["_shape", "source_type"], bucket=bucket, watermark=watermark)
+    sums = segment_window_agg(once, duration, speed=speed, flow=flow, by="_shape")
+    return sums.join(members, "_shape").select(F.explode("_ids").alias("road_segment_id"), *[c for c in sums.columns if c != "_shape"])
 
 
 def start_silver(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "update", available_now: bool = False) -> StreamingQuery:
