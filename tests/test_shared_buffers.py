@@ -44,3 +44,21 @@ def test_the_stream_keeps_a_row_for_a_buffer_and_not_for_each_road(spark, tmp_pa
             sums.setdefault(at.replace(second=0, minute=at.minute // 10 * 10), []).append(speed)
         want += [(road, str(at), len(v), sum(v) / len(v), float(len(v))) for at, v in sums.items()]
     assert [(r[0], r[1], r[2], round(r[3], 9), r[4]) for r in got] == sorted((r[0], r[1], r[2], round(r[3], 9), r[4]) for r in want)
+
+
+def test_points_meet_a_buffer_once_and_every_road_has_its_pairs(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "IDS", 16)
+    points = spark.createDataFrame([(k, 39.2001 + 0.0004 * (k % 60), -6.795) for k in range(120)], "event long, lon double, lat double")
+    rows = [(k, box(39.2, -6.8)) for k in range(200)] + [(None, box(39.2, -6.8)), (7, box(39.2, -6.8)), (7, box(39.21, -6.8)), (300, box(39.21, -6.8)), (301, [(39.2, -6.8)]), (302, None)]
+    roads = spark.createDataFrame(rows, f"road_segment_id long, buffer_geom {RING}")
+    low = {39.2: [r for r, b in rows if b == box(39.2, -6.8)], 39.21: [7, 300]}
+    want = [(k, r) for k in range(120) for x in low for r in low[x] if x < 39.2001 + 0.0004 * (k % 60) < x + 0.01]
+    got = spatial.spatial_within(points, roads)
+    assert got.columns == ["event", "lon", "lat", "road_segment_id"]
+    order = lambda pairs: sorted(pairs, key=lambda p: (p[0], -1 if p[1] is None else p[1]))
+    assert order((r.event, r.road_segment_id) for r in got.collect()) == order(want)
+    shapes, members = spatial.shared_buffers(roads.where(spatial.has_area()).select("road_segment_id", F.array("buffer_geom").alias("_rings")))
+    assert shapes.count() == 2 and members.count() <= 14
+    sizes = [len(r._ids) for r in members.collect()]
+    assert sum(sizes) == 204 and max(sizes) < 60
+    assert spatial.within_shapes(points, shapes).count() == len({(k, x) for k in range(120) for x in low if x < 39.2001 + 0.0004 * (k % 60) < x + 0.01})

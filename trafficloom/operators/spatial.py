@@ -18,7 +18,7 @@ from .serving import clip_range
 
 BUFFER_M = 50.0
 #: Ids of roads with one buffer that are in an array at most, or about so many.
-IDS = 4_096
+IDS = 1_024
 #: Columns of a leaf and of a share of it.
 CELL = ("_l", "_x", "_y", "_share")
 
@@ -35,9 +35,9 @@ def shared_buffers(roads: DataFrame, keep: Callable[[DataFrame], DataFrame] = la
     """(shapes, members) of roads (road_segment_id, _rings: an array of buffers). A shape is what roads with equal buffers share.
 
     shapes: _shape (128 bits of the rings), _rings, _blocks; members: _shape, _block, _ids, an array of some IDS road ids. A
-    road id of several rows is in as many arrays. Both go through `keep`, which may write them.
+    road id of several rows is in as many arrays. What is read more than once goes through `keep`, which may write it.
     """
-    rows = roads.withColumn("_shape", F.md5(F.to_json("_rings")))
+    rows = keep(roads.withColumn("_shape", F.md5(F.to_json("_rings"))))
     shapes = keep(rows.groupBy("_shape").agg(F.any_value("_rings").alias("_rings"), F.ceil(F.count("*") / F.lit(IDS)).cast("int").alias("_blocks")))
     rows = rows.select("_shape", "road_segment_id").join(shapes.select("_shape", "_blocks"), "_shape")
     ids = F.transform(F.collect_list(F.struct("road_segment_id")), lambda r: r["road_segment_id"])  # with those that are null
@@ -84,9 +84,8 @@ def spatial_within(points: DataFrame, roads: DataFrame, cell_deg: float = 0.005,
     shapes, members = shared_buffers(roads.where(has_area()).select("road_segment_id", F.array("buffer_geom").alias("_rings")), write)
     placed = within_shapes(points, shapes.select("_shape", "_rings", "_blocks"), cell_deg, levels, most)
     placed = placed.withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    # few rows that many are made of: dealt out by their number, as their size says little
-    placed = placed.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return placed.join(members, ["_shape", "_block"]).select(*points.columns, F.explode("_ids").alias("road_segment_id"))
+    # merged: a row is unfolded before the next, where a broadcast of `placed` would hold all that an array makes
+    return placed.join(members.hint("merge"), ["_shape", "_block"]).select(*points.columns, F.explode("_ids").alias("road_segment_id"))
 
 
 def within_distance(points: DataFrame, edges: DataFrame, meters: float = BUFFER_M, cell_deg: float | None = None, levels: int = 2, most: int = MOST) -> DataFrame:
