@@ -175,16 +175,23 @@ def landed_json(spark, sf_dir):
     return rows.select(*known, F.col("_corrupt").isNotNull().alias("corrupt"))
 
 
-def _in_files(spark: SparkSession, rows: DataFrame, ts: str, root: str, parts: int = 2) -> DataFrame:
-    """A stream of `rows` in so many files by time, a micro-batch each, and then a last row, far ahead, whose time lets the watermark pass all others."""
-    cuts = rows.stat.approxQuantile("_s", [k / parts for k in range(1, parts)], 0.01) if parts > 1 else []
-    edges = [None, *cuts, None]
-    for low, high in zip(edges, edges[1:]):
-        some = rows if low is None else rows.where(F.col("_s") > low)
-        (some if high is None else some.where(F.col("_s") <= high)).drop("_s").coalesce(1).write.mode("append").parquet(root)
+#: Rows of a file of a stream at most, or about so many; groups of keys that a rule in event-time order keeps together.
+FILE_ROWS, SHARDS = 1_000_000, 256
+
+
+def _in_files(spark: SparkSession, rows: DataFrame, ts: str, root: str) -> DataFrame:
+    """A stream of `rows` in two halves by time, a micro-batch each, and then a last row, far ahead, whose time lets the watermark pass all others.
+
+    The halves have as many files each, as files come in the order they were written in and a micro-batch is a number of them.
+    """
+    files = 1 + rows.count() // (2 * FILE_ROWS)
+    cut = rows.stat.approxQuantile("_s", [0.5], 0.01)
+    for some in [rows.where(F.col("_s") <= cut[0]), rows.where(F.col("_s") > cut[0])] if cut else [rows]:
+        some = some.drop("_s")
+        (some.repartition(files) if files > 1 else some.coalesce(1)).write.mode("append").parquet(root)
     last = rows.groupBy().agg(*[(F.max(c) + F.expr("INTERVAL 100 DAYS") if c == ts else F.max(c)).alias(c) for c in rows.columns])
     last.drop("_s").withColumn("event_id", F.lit(-1).cast("long")).write.mode("append").parquet(root)
-    return spark.readStream.schema(rows.drop("_s").schema).option("maxFilesPerTrigger", 1).parquet(root)
+    return spark.readStream.schema(rows.drop("_s").schema).option("maxFilesPerTrigger", files).parquet(root)
 
 
 def _timed(df: DataFrame, ts: str) -> DataFrame:
@@ -198,7 +205,7 @@ def ordered_first_report(spark, sf_dir):
     where = _scratch(spark)
     rows = _timed(B.reports(spark, sf_dir).select("event_id", "id", "reported_at"), "reported_at")
     stream = _in_files(spark, rows, "reported_at", f"{where}/in").withColumn("id", F.when(F.col("event_id") >= 0, F.col("id")).otherwise("beat"))
-    out = run_to_end(ordered.dedup_ttl_ordered(stream, ttl_min=12 * 60, bucket_s=86_400, delay="1 day", order=["event_id"]), where)
+    out = run_to_end(ordered.dedup_ttl_ordered(stream, ttl_min=12 * 60, bucket_s=86_400, delay="1 day", order=["event_id"], shards=SHARDS), where)
     return out.where(F.col("id") != "beat").select("id", utc_ntz(F.col("reported_at")).alias("reported_at"))
 
 
@@ -208,7 +215,7 @@ def ordered_rate_limit(spark, sf_dir):
     where = _scratch(spark)
     rows = _timed(B.reports(spark, sf_dir).select("event_id", "id", "reported_at"), "reported_at")
     stream = _in_files(spark, rows, "reported_at", f"{where}/in").withColumn("id", F.when(F.col("event_id") >= 0, F.col("id")).otherwise("beat"))
-    out = run_to_end(ordered.rate_limit_ordered(stream, "id", "reported_at", 2, 86_400, bucket_s=86_400, delay="1 day", order=["event_id"]), where)
+    out = run_to_end(ordered.rate_limit_ordered(stream, "id", "reported_at", 2, 86_400, bucket_s=86_400, delay="1 day", order=["event_id"], shards=SHARDS), where)
     return out.where("event_id >= 0").select("event_id", "accepted")
 
 
@@ -218,7 +225,7 @@ def _telecom_stream(spark, sf_dir, where: str) -> DataFrame:
     stream = _in_files(spark, rows, "timestamp", f"{where}/in")
     stream = stream.withColumns({"device_id": F.when(F.col("event_id") >= 0, F.col("device_id")).otherwise("beat"), "lat": F.when(F.col("event_id") >= 0, F.col("lat")).otherwise(-6.8), "lon": F.when(F.col("event_id") >= 0, F.col("lon")).otherwise(39.2)})
     judged = ingest.telecom_judged(stream, F.lit(B.SALT_DATE).cast("date"))
-    dwelling = ordered.flag_residential_ordered(judged.where(F.col("outcome").isNull()), bucket_s=86_400, delay="1 day", order=["event_id"])
+    dwelling = ordered.flag_residential_ordered(judged.where(F.col("outcome").isNull()), bucket_s=86_400, delay="1 day", order=["event_id"], shards=SHARDS)
     dwelling = dwelling.withColumn("outcome", F.when(F.col("residential"), "residential").otherwise("published")).drop("residential")
     return counters.counted(judged.where(F.col("outcome").isNotNull()).unionByName(dwelling).where("event_id >= 0"), "telecom", ingest.TELECOM_OUTCOMES)
 
