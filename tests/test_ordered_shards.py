@@ -62,3 +62,11 @@ def test_halves_of_several_files_lose_no_row(spark, tmp_path, monkeypatch):
     sizes = [p.numInputRows for p in query.recentProgress if p.numInputRows]
     assert len(sizes) == 3 and sum(sizes) == 7001 and sizes[2] == 1
     assert spark.read.parquet(str(tmp_path / "out")).agg(F.sum("count")).first()[0] == 7000
+
+
+def test_rate_limit_of_a_busy_key_beside_others(spark, tmp_path):
+    data = [(i, "busy" if i % 4 else f"k{i}", "t1", START + timedelta(seconds=i * 15 // 60 * 60)) for i in range(300)]
+    out = stream(spark, tmp_path, batches(data, 3), lambda s: ordered.rate_limit_ordered(s, "id", "at", 5, 1800, bucket_s=600, order=["event_id"], shards=1))
+    want = stateful.rate_limit(spark.createDataFrame(data, KIND), "id", "at", 5, 1800.0).collect()
+    assert sorted((r.event_id, r.accepted) for r in out[-1] if r.id != "beat") == sorted((r.event_id, r.accepted) for r in want)
+    assert sum(r.accepted for r in want if r.id == "busy") < 30 and all(r.accepted for r in want if r.id != "busy")
