@@ -5,7 +5,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from trafficloom.operators import stateful
-from trafficloom.plans import streams
+from trafficloom.plans import ingestion, streams
 from trafficloom.streaming import ordered
 
 from .test_ordered import KIND, START, batches, stream
@@ -70,3 +70,14 @@ def test_rate_limit_of_a_busy_key_beside_others(spark, tmp_path):
     want = stateful.rate_limit(spark.createDataFrame(data, KIND), "id", "at", 5, 1800.0).collect()
     assert sorted((r.event_id, r.accepted) for r in out[-1] if r.id != "beat") == sorted((r.event_id, r.accepted) for r in want)
     assert sum(r.accepted for r in want if r.id == "busy") < 30 and all(r.accepted for r in want if r.id != "busy")
+
+
+def test_ingest_counts_from_halves_of_several_files_and_groups(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "FILE_ROWS", 200)
+    monkeypatch.setattr(streams, "SHARDS", 3)
+    monkeypatch.setattr(streams, "_scratch", lambda spark: str(tmp_path))
+    data = "/root/testdata/sf0.001"
+    got, want = (sorted(tuple(r) for r in q(spark, data).collect()) for q in (streams.stream_ingest_counts, ingestion.QUERIES["ingest_counts"]))
+    assert got == [r for r in want if r[0] == "telecom"] and len(got) >= 2
+    left = spark.read.format("statestore").option("path", str(tmp_path / "ck")).option("stateVarName", "carry").load()
+    assert 1 <= left.count() <= 3 and len(list((tmp_path / "in").glob("part-*.parquet"))) == 7
